@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlcat.llm import packing, token_files
+from crawlcat.llm import language, packing, pii, secrets, token_files
 from crawlcat.llm.common import table
 
 
@@ -14,6 +14,20 @@ def op1_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op3_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.scan(table(spark, sf_dir, "documents")))
+
+
+def op7_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op10_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
+    model = language.fit(docs.where(~F.col("held_out")))
+    return language.identify(docs, model, "held_out")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write(table(spark, sf_dir, "documents"))
     return token_files.read(files).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -23,7 +37,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_power_of_two_packing,
+        op3_disclosure_pii,
+        op7_ownership_secrets,
         op8_token_files,
+        op10_centroid_language,
     )
 }
 
