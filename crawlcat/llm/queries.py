@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlcat.llm import language, packing, pii, secrets, token_files
+from crawlcat.llm import decontaminate, language, packing, pii, secrets, token_files
 from crawlcat.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op2_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.scan(table(spark, sf_dir, "documents")))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_power_of_two_packing,
+        op2_latent_decontamination,
         op3_disclosure_pii,
         op7_ownership_secrets,
         op8_token_files,
