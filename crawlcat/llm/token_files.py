@@ -40,7 +40,7 @@ SHARD_DOCS, BLOCK_BYTES = 4_096, 1 << 20
 MAX_SHARDS = 20_000
 LEVEL = 3
 
-_FRAMES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("frame", T.BinaryType())])
+_FRAMES = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("frame", T.BinaryType())])
 _BLOCKS = T.StructType(
     [
         T.StructField("shard", T.IntegerType()),
@@ -82,10 +82,13 @@ def _serialized(ids: np.ndarray, width: int) -> bytes:
     return np.append(ids, np.uint32(END_ID)).astype(f"<u{width}").tobytes()
 
 
-def train_dictionary(docs: DataFrame, path: str, width: int) -> bytes:
+def train_dictionary(docs: DataFrame, n_docs: int, path: str, width: int) -> bytes:
     """Dictionary from the sample; empty where there is too little to train on."""
     enc = encoder(path)
-    few = docs.where(F.length("text") <= SAMPLE_CHARS).select("text", F.xxhash64("text", "doc_id").alias("h")).orderBy("h", "text").limit(SAMPLE_DOCS)
+    hashed = docs.where(F.length("text") <= SAMPLE_CHARS).select("text", F.xxhash64("text", "doc_id").alias("h"))
+    # So few come through the first test that no task, nor the driver, holds more than about twice the sample.
+    share = min(1.0, 2 * SAMPLE_DOCS / max(1, n_docs))
+    few = hashed.where(F.pmod("h", F.lit(1_000_003)) / F.lit(1_000_003.0) < share).orderBy("h", "text").limit(SAMPLE_DOCS)
     ids, at = enc.encode(pa.array([r["text"] for r in few.collect()], pa.string()))
     samples = [_serialized(ids[a:b], width) for a, b in zip(at[:-1], at[1:]) if b > a]
     if len(samples) < 8 or sum(map(len, samples)) < 4_096:
@@ -106,12 +109,12 @@ def write(docs: DataFrame, path: str | None = None, vocabulary: str | None = Non
     path = path or f"{shared_dir(spark)}/token_files"
     vocabulary = vocabulary or vocabulary_path()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    data = train_dictionary(rows, vocabulary, width)
+    found = rows.agg(F.count("*").alias("n")).head()["n"]
+    data = train_dictionary(rows, found, vocabulary, width)
     dict_hash = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(dict_hash, data)], "dict_hash string, data binary").coalesce(1).write.mode("overwrite").parquet(f"{path}/dictionary")
 
     # Ranges of doc_id from the column alone; the texts are read once.
-    found = rows.agg(F.count("*").alias("n")).head()["n"]
     shards = min(MAX_SHARDS, max(1, -(-found // SHARD_DOCS)))
     cuts = [] if shards == 1 else sorted(set(rows.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 100 * shards).alias("c")).head()["c"] or []))
 
@@ -122,13 +125,9 @@ def write(docs: DataFrame, path: str | None = None, vocabulary: str | None = Non
             for first, end in slices(batch.column(1)):
                 part = batch.slice(first, end - first)
                 ids, at = enc.encode(part.column(1))
+                shard = [0 if i is None else bisect.bisect_left(cuts, i) for i in part.column(0).to_pylist()]
                 made = [packer.compress(_serialized(ids[a:b], width)) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at) + 1, pa.int64()), pa.array(made, pa.binary())], ["doc_id", "n_tokens", "frame"])
-
-    def shard_of(batches):
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([0 if i is None else bisect.bisect_left(cuts, i) for i in ids], pa.int32()), *batch.columns], ["shard", *batch.schema.names])
+                yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), part.column(0), pa.array(np.diff(at) + 1, pa.int64()), pa.array(made, pa.binary())], ["shard", "doc_id", "n_tokens", "frame"])
 
     def blocks(batches):
         shard, block, held, size = None, 0, [], 0
@@ -151,7 +150,7 @@ def write(docs: DataFrame, path: str | None = None, vocabulary: str | None = Non
         if held:
             yield made()
 
-    framed = rows.mapInArrow(frames, _FRAMES).mapInArrow(shard_of, T.StructType([T.StructField("shard", T.IntegerType()), *_FRAMES.fields]))
+    framed = rows.mapInArrow(frames, _FRAMES)
     dealt = framed.repartition("shard").sortWithinPartitions("shard", "doc_id", "frame")
     dealt.mapInArrow(blocks, _BLOCKS).write.mode("overwrite").parquet(f"{path}/shards")
     return TokenFiles(spark, path, dict_hash)

@@ -24,9 +24,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 END_ID = 1
 #: Distinct chunks kept in each of the two generations of the cache.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 350_000
 #: UTF-8 bytes handled at once.
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 8_000_000
 
 #: Lower-case letters of one pre-token that every normaliser step leaves as they are.
 LETTERS = [chr(c) for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
