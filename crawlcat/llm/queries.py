@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlcat.llm import decontaminate, language, packing, pii, secrets, token_files
+from crawlcat.llm import decontaminate, jaccard, language, packing, pii, secrets, token_files
 from crawlcat.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.scan(table(spark, sf_dir, "documents")))
 
 
+def op6_chosen_path_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_power_of_two_packing,
         op2_latent_decontamination,
         op3_disclosure_pii,
+        op6_chosen_path_jaccard,
         op7_ownership_secrets,
         op8_token_files,
         op10_centroid_language,
