@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlcat.llm import decontaminate, jaccard, language, packing, pii, secrets, token_files
+from crawlcat.llm import decontaminate, edit_counts, jaccard, language, media, packing, pii, quotes, secrets, token_files
 from crawlcat.llm.common import table
 
 
@@ -22,6 +22,15 @@ def op3_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return edit_counts.count(docs.withColumn("edits", edit_counts.sample_edits(F.col("text"), F.col("doc_id"))))
+
+
+def op5_media_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digest(media.store(table(spark, sf_dir, "documents"), with_media=False))
+
+
 def op6_chosen_path_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
@@ -30,6 +39,10 @@ def op7_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op9_quotation_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.rendered(quotes.format_chat(table(spark, sf_dir, "conversations")))
+
+
 def op10_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
     model = language.fit(docs.where(~F.col("held_out")))
@@ -47,9 +60,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_power_of_two_packing,
         op2_latent_decontamination,
         op3_disclosure_pii,
+        op4_edit_aware_counts,
+        op5_media_fingerprints,
         op6_chosen_path_jaccard,
         op7_ownership_secrets,
         op8_token_files,
+        op9_quotation_chat,
         op10_centroid_language,
     )
 }
