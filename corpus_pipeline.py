@@ -1,19 +1,51 @@
-"""Corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""Corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next.
+
+Every stage works on all rows its predecessor kept; all but the last return
+the columns of ``documents``.  Null and empty texts are rejected by the first
+stage, which finds no letter in them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from crawlcat.llm import decontaminate, jaccard, language, packing, secrets
 from crawlcat.llm.common import table, written
-from crawlcat.llm.packing import pack
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language model doesn't reject; ``lang`` stays as it was given."""
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    names = [c for c in docs.columns if c not in ("doc_id",)]
+    return language.identify(docs, model, *names).where("not rejected").select(*docs.columns)
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the least id."""
+    return jaccard.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret but widely copied examples replaced."""
+    out = secrets.redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document left."""
-    return pack(docs, with_ids=False)
+    return packing.pack(docs, with_ids=False)
 
 
 STAGES = [
+    ("language ID", language_id),
+    ("n-gram Jaccard join", jaccard_join),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secret_scan),
     ("packing", pack_sequences),
 ]
 
