@@ -1,4 +1,398 @@
-"""Registered queries over the driver's tables and their DuckDB equivalents."""
+"""Registered queries over the driver's tables and their DuckDB equivalents.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+``pages`` stand for linked pages and for indexes, ``documents`` for catalog
+entries (prior and found snapshots are slices by id), ``events`` for fetches
+(a resource is a user).  ``NOW`` is fixed, so results don't depend on the day.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from crawlcat.config import FeedIdentity, HostPolicy
+from crawlcat.functions import http, text, urls
+from crawlcat.operators import catalog, discovery, feeds, verify
+from crawlcat.sources import decode, html
+
+POLICY, IDENTITY = HostPolicy(), FeedIdentity()
+NOW = "2024-03-01 00:00:00"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def now():
+    return F.lit(NOW).cast("timestamp")
+
+
+# ---- URLs -------------------------------------------------------------------------------------------------------
+
+P = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
+
+
+def _part(u: str, n: int) -> str:
+    return f"regexp_extract({u}, '{P}', {n})"
+
+
+def _host(u: str) -> str:
+    return f"lower(regexp_replace(regexp_replace({_part(u, 4)}, '^.*@', ''), ':[^:\\]]*$', ''))"
+
+
+def _path(u: str) -> str:
+    return f"CASE WHEN {_part(u, 5)} = '' THEN '/' ELSE {_part(u, 5)} END"
+
+
+_UNDER = lambda h, names: "(" + " OR ".join(f"{h} = '{n}' OR ends_with({h}, '.{n}')" for n in names) + ")"
+_ALLOWED = lambda h: _UNDER(h, POLICY.suffixes)
+_CDN = lambda h: _UNDER(h, POLICY.cdn)
+
+
+def _apex(h: str) -> str:
+    return f"CASE WHEN starts_with({h}, 'www.') AND {_UNDER(f'substr({h}, 5)', POLICY.apex)} THEN substr({h}, 5) ELSE {h} END"
+
+
+def _error(u: str) -> str:
+    return f"CASE WHEN {u} IS NULL OR trim({u}) = '' THEN 'empty url' WHEN lower({_part(u, 2)}) <> 'https' THEN 'not https' WHEN NOT {_ALLOWED(_host(u))} THEN 'host not allowed' END"
+
+
+def _canonical(u: str) -> str:
+    return f"CASE WHEN ({_error(u)}) IS NULL THEN 'https://' || ({_apex(_host(u))}) || ({_path(u)}) || CASE WHEN {_CDN(f'({_apex(_host(u))})')} THEN '' ELSE {_part(u, 6)} END END"
+
+
+_EXCLUDED = ", ".join(f"'{p}'" for p in POLICY.excluded_paths)
+
+
+def _candidate(u: str, title: str) -> str:
+    return f"(coalesce({title}, '') <> '' AND NOT (NOT {_CDN(_host(u))} AND ({_path(u)}) IN ({_EXCLUDED})))"
+
+
+def _uuid5(u: str) -> str:
+    h = f"sha1(unhex('{urls.NAMESPACE_URL}') || encode({u}))"
+    return f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || substr('89ab89ab89ab89ab', 1 + strpos('0123456789abcdef', substr({h}, 17, 1)) - 1, 1) || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)"
+
+
+def _stable(u: str) -> str:
+    bare = f"regexp_replace({u}, '[?#].*$', '')"
+    return f"CASE WHEN NOT {_CDN(_host(u))} THEN {u} ELSE 'urn:uuid:' || {_uuid5(bare)} END"
+
+
+@query(f"SELECT page_id, {_canonical('url')} AS canonical, {_error('url')} AS error FROM pages")
+def canonicalize_urls(spark, d):
+    u = F.col("url")
+    return table(spark, d, "pages").select("page_id", urls.canonical(u, POLICY).alias("canonical"), urls.url_error(u, POLICY).alias("error"))
+
+
+@query(
+    f"""WITH p AS (SELECT page_id, url AS u, {_host('url')} AS h FROM pages),
+    q AS (SELECT *, CASE WHEN starts_with(h, 'www.') AND length(h) - length(replace(h, '.', '')) >= 2 THEN substr(h, 5) ELSE h END AS bare FROM p),
+    e AS (SELECT *, CASE WHEN u IS NULL OR u = '' THEN 'empty url' WHEN {_part('u', 4)} = '' THEN 'not absolute' WHEN contains({_part('u', 4)}, '@') THEN 'user information'
+        WHEN lower({_part('u', 2)}) <> 'https' THEN 'not https' WHEN NOT {_ALLOWED('bare')} THEN 'host not allowed' END AS error FROM q)
+    SELECT page_id, CASE WHEN error IS NULL THEN lower({_part('u', 2)}) || '://' || bare || ({_path('u')}) || {_part('u', 6)} END AS normalized, error FROM e"""
+)
+def normalize_urls(spark, d):
+    url, error = urls.normalized(F.col("url"), POLICY)
+    return table(spark, d, "pages").select("page_id", url.alias("normalized"), error.alias("error"))
+
+
+@query(f"SELECT page_id, {_candidate('url', 'substr(html, 1, page_id % 3)')} AS candidate FROM pages")
+def content_candidates(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.content_candidate(F.col("url"), F.expr("substring(html, 1, cast(page_id % 3 as int))"), POLICY).alias("candidate"))
+
+
+@query(f"WITH c AS (SELECT page_id, {_canonical('url')} AS u FROM pages) SELECT page_id, {_stable('u')} AS stable_id, NOT {_CDN(_host('u'))} AS is_permalink FROM c WHERE u IS NOT NULL")
+def stable_ids(spark, d):
+    c = table(spark, d, "pages").select("page_id", urls.canonical(F.col("url"), POLICY).alias("u")).where("u is not null")
+    return c.select("page_id", urls.stable_id(F.col("u"), POLICY).alias("stable_id"), urls.is_permalink(F.col("u"), POLICY).alias("is_permalink"))
+
+
+@query(f"SELECT page_id, coalesce({_error('url')}, CASE WHEN contains(url, '#') THEN 'fragment' WHEN regexp_matches({_path('url')}, '^/https?:/') THEN 'nested url' WHEN regexp_matches(url, '\\s') THEN 'white space' END) AS error FROM pages")
+def link_structural(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.link_error(F.col("url"), POLICY).alias("error"))
+
+
+@query(f"SELECT page_id, CASE WHEN ({_error('url')}) IS NULL THEN url END AS image_url FROM pages")
+def image_policy(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.image_or_null(F.col("url"), POLICY).alias("image_url"))
+
+
+@query(f"SELECT page_id, lower({_part('url', 2)}) = 'https' AND regexp_replace({_host('url')}, '^www\\.', '') = 'therer.example.com' AS allowed FROM pages")
+def index_host_policy(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.index_host_allowed(F.col("url"), "therer.example.com").alias("allowed"))
+
+
+@query(
+    """WITH j AS (SELECT page_id, url || CASE page_id % 3 WHEN 0 THEN '/feed.json' WHEN 1 THEN '/feed.simple.json' ELSE '/other' END AS u FROM pages)
+    SELECT page_id, CASE WHEN ends_with(u, 'feed.simple.json') THEN regexp_replace(u, 'feed\\.simple\\.json$', 'rss.simple.xml') WHEN ends_with(u, 'feed.json') THEN regexp_replace(u, 'feed\\.json$', 'rss.xml') ELSE u END AS rss,
+        CASE WHEN ends_with(u, 'feed.simple.json') THEN regexp_replace(u, 'feed\\.simple\\.json$', 'atom.simple.xml') WHEN ends_with(u, 'feed.json') THEN regexp_replace(u, 'feed\\.json$', 'atom.xml') ELSE u END AS atom FROM j"""
+)
+def self_links(spark, d):
+    u = F.concat("url", F.when(F.col("page_id") % 3 == 0, "/feed.json").when(F.col("page_id") % 3 == 1, "/feed.simple.json").otherwise("/other"))
+    return table(spark, d, "pages").select("page_id", urls.self_link(u, "rss").alias("rss"), urls.self_link(u, "atom").alias("atom"))
+
+
+@query(f"SELECT page_id, lower({_part('url', 2)}) = 'https' AND {_ALLOWED(_host('url'))} AS allowed FROM pages")
+def hop_policy(spark, d):
+    return table(spark, d, "pages").select("page_id", http.hop_allowed(F.col("url"), POLICY).alias("allowed"))
+
+
+# ---- Text -------------------------------------------------------------------------------------------------------
+
+SPACES = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+AUTHOR = IDENTITY.author
+
+
+def _truncated(s: str, n: int = 400) -> str:
+    head = f"substr({s}, 1, {n - 1})"
+    word = f"regexp_replace(regexp_replace({head}, '(?s) [^ ]*$', ''), '{SPACES}$', '')"
+    return f"CASE WHEN length({s}) <= {n} THEN {s} ELSE CASE WHEN {word} = '' THEN {head} ELSE {word} END || '…' END"
+
+
+def _blurb(t: str) -> str:
+    return f"('Read “' || {t} || '” by {AUTHOR}.')"
+
+
+@query(f"SELECT doc_id, trim(regexp_replace(regexp_replace(nfc_normalize(text), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), '{SPACES}', ' ', 'g')) AS normalized FROM documents")
+def normalize_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.normalized(F.col("text")).alias("normalized"))
+
+
+@query(f"SELECT doc_id, {_truncated('text')} AS t400, {_truncated('text', 40)} AS t40 FROM documents")
+def truncate_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.truncated(F.col("text")).alias("t400"), text.truncated(F.col("text"), 40).alias("t40"))
+
+
+@query(f"SELECT doc_id, {_blurb('substr(text, 1, 30)')} AS blurb FROM documents")
+def blurbs(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.blurb(F.substring("text", 1, 30), AUTHOR).alias("blurb"))
+
+
+_SAID = f"coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END, ''), {_blurb('substr(text, 1, 30)')})"
+
+
+@query(f"SELECT doc_id, coalesce(nullif({_truncated(_SAID)}, ''), {_blurb('substr(text, 1, 30)')}) AS summary FROM documents")
+def feed_summary(spark, d):
+    s = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", text.feed_summary(s, F.lit(None).cast("string"), F.substring("text", 1, 30), AUTHOR).alias("summary"))
+
+
+@query("SELECT doc_id, sha256(text) AS sha256 FROM documents")
+def content_hash(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.sha256(F.col("text")).alias("sha256"))
+
+
+@query("SELECT event_id, strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' GMT' AS rfc822, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS rfc3339 FROM events")
+def rfc_dates(spark, d):
+    return table(spark, d, "events").select("event_id", text.rfc822(F.col("ts")).alias("rfc822"), text.rfc3339(F.col("ts")).alias("rfc3339"))
+
+
+_MONTH = f"(?i)\\b({text.MONTHS})\\s+(\\d{{4}})\\b"
+
+
+def _hint(c: str) -> str:
+    m = f"regexp_extract(substr({c}, 1, 400), '{_MONTH}', 1)"
+    return f"CASE WHEN regexp_matches(substr({c}, 1, 400), '{_MONTH}') THEN upper(substr({m}, 1, 1)) || lower(substr({m}, 2)) || ' ' || regexp_extract(substr({c}, 1, 400), '{_MONTH}', 2) END"
+
+
+_DATED = "CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN 'In mARCH   ' || cast(1990 + doc_id % 30 AS VARCHAR) || ' ' || text WHEN 2 THEN substr(text, 1, 380) || ' July 2001' ELSE 'Marches 2001 ' || text END"
+
+
+@query(f"WITH d AS (SELECT doc_id, {_DATED} AS c FROM documents) SELECT doc_id, coalesce({_hint('c')}, {_hint('substr(c, 200)')}) AS hint FROM d")
+def published_hints(spark, d):
+    c = table(spark, d, "documents").select("doc_id", F.expr("CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN concat('In mARCH   ', cast(1990 + doc_id % 30 AS STRING), ' ', text) WHEN 2 THEN concat(substr(text, 1, 380), ' July 2001') ELSE concat('Marches 2001 ', text) END").alias("c"))
+    return c.select("doc_id", text.published_hint(F.col("c"), F.expr("substring(c, 200)")).alias("hint"))
+
+
+_QUALITY_TEXT = "CASE doc_id % 7 WHEN 0 THEN text WHEN 1 THEN substr(text, 1, 30) WHEN 2 THEN '  ' WHEN 3 THEN 'Subscribe and click here. ' || substr(text, 1, 90) WHEN 4 THEN 'Home | About' WHEN 5 THEN text || chr(65533) ELSE NULL END"
+_FAULTS = [
+    ("too_short", 0.35, "length(trim(s)) < 40"), ("subscribe", 0.4, "contains(lower(s), 'subscribe')"), ("click_here", 0.3, "contains(lower(s), 'click here')"),
+    ("nav_like", 0.4, f"regexp_matches(s, '{text.NAV_LIKE}')"), ("replacement_char", 0.5, "contains(s, chr(65533))"),
+]
+_SCORE = "1.0::DOUBLE" + "".join(f" - CASE WHEN {c} THEN {off}::DOUBLE ELSE 0.0::DOUBLE END" for _, off, c in _FAULTS)
+_FLAGS = "concat_ws(','" + "".join(f", CASE WHEN {c} THEN '{n}' END" for n, _, c in _FAULTS) + ")"
+
+
+@query(f"WITH d AS (SELECT doc_id, {_QUALITY_TEXT} AS s FROM documents) SELECT doc_id, CASE WHEN s IS NULL OR trim(s) = '' THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, {_SCORE})) END AS score, CASE WHEN s IS NULL OR trim(s) = '' THEN 'empty' ELSE {_FLAGS} END AS flags FROM d")
+def summary_quality(spark, d):
+    s = F.expr(_QUALITY_TEXT.replace("chr(65533)", "decode(X'EFBFBD', 'UTF-8')").replace("text ||", "text ||"))
+    score, flags = text.summary_quality(F.col("s"))
+    return table(spark, d, "documents").select("doc_id", s.alias("s")).select("doc_id", score.alias("score"), F.array_join(flags, ",").alias("flags"))
+
+
+_CHROME = ", ".join(f"'{w}'" for w in text.CHROME_WORDS)
+
+
+@query(f"WITH d AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'Follow us ' || substr(text, 1, 20) WHEN 2 THEN 'About' ELSE substr(text, 1, 50) END AS s FROM documents) SELECT doc_id, s = '' OR regexp_matches(s, '{text.PROMO}') OR (length(s) < 12 AND lower(s) IN ({_CHROME})) AS promo FROM d")
+def promo_filter(spark, d):
+    s = F.expr("CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN concat('Follow us ', substr(text, 1, 20)) WHEN 2 THEN 'About' ELSE substr(text, 1, 50) END")
+    return table(spark, d, "documents").select("doc_id", text.is_promo(s).alias("promo"))
+
+
+@query(
+    """WITH p AS (SELECT page_id, page_id % 9 AS items, page_id % 5 AS marked, page_id % 2 = 0 AS fb, page_id % 6 AS dup, page_id % 13 AS rej FROM pages),
+    s AS (SELECT *, CASE WHEN fb THEN greatest(0.0::DOUBLE, 1 - marked::DOUBLE / greatest(items, 1)) ELSE 0.0::DOUBLE END + 0.05::DOUBLE * least(dup, 4) + 0.01::DOUBLE * least(rej, 10) AS v FROM p)
+    SELECT page_id, CASE WHEN items = 0 THEN 1.0::DOUBLE ELSE round(least(1.0::DOUBLE, v), 4) END AS drift FROM s"""
+)
+def drift_score(spark, d):
+    i = F.col("page_id")
+    return table(spark, d, "pages").select("page_id", text.drift_score(i % 9, i % 5, i % 2 == 0, i % 6, i % 13).alias("drift"))
+
+
+# ---- HTML -------------------------------------------------------------------------------------------------------
+
+_LABELS = ["utf-8", "UTF_8", " utf8 ", "latin1", "ISO-8859-1", "cp1252", "koi8-r", ""]
+_LABEL = "CASE event_id % 8 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(_LABELS)) + " END"
+
+
+@query(f"WITH e AS (SELECT event_id, replace(lower(trim({_LABEL})), '_', '-') AS k FROM events) SELECT event_id, CASE WHEN k IN ('utf-8', 'utf8') THEN 'utf-8' WHEN k IN ('windows-1252', 'cp1252', 'iso-8859-1', 'latin-1', 'latin1') THEN 'windows-1252' END AS encoding FROM e")
+def encoding_labels(spark, d):
+    return table(spark, d, "events").select("event_id", http.encoding(F.expr(_LABEL)).alias("encoding"))
+
+
+@query()
+def decode_documents(spark, d):
+    body = table(spark, d, "pages").select("page_id", F.expr("CASE WHEN page_id % 3 = 0 THEN concat(X'EFBBBF', encode(html, 'UTF-8')) ELSE encode(html, 'UTF-8') END").alias("body"), F.expr("CASE WHEN page_id % 2 = 0 THEN 'utf-8' END").alias("transport_charset"))
+    return decode.decoded(body, "page_id").select("page_id", "encoding", "source", "had_bom", "replacement_count", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("WITH a AS (SELECT page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\">[^<]*</a>', 1) AS h, regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1) AS t FROM pages) SELECT page_id, (i - 1)::INTEGER AS source_index, h[i] AS href, regexp_replace(trim(t[i]), '\\s+', ' ', 'g') AS title, false AS marked FROM a, LATERAL (SELECT unnest(range(1, len(h) + 1)) AS i)")
+def page_anchors(spark, d):
+    return html.page_anchors(table(spark, d, "pages"))
+
+
+@query()
+def meta_tags(spark, d):
+    return html.parsed(table(spark, d, "pages")).select("page_id", F.explode("metas").alias("name", "content"))
+
+
+@query()
+def page_paragraphs(spark, d):
+    return html.parsed(table(spark, d, "pages")).select("page_id", "title", F.size("paragraphs").alias("n_paragraphs"), F.array_join("paragraphs", "\n").alias("paragraphs"), "loose")
+
+
+@query()
+def first_paragraph(spark, d):
+    return html.parsed(table(spark, d, "pages")).select("page_id", html.first_paragraph().alias("paragraph"))
+
+
+@query()
+def page_metadata(spark, d):
+    return html.metadata(table(spark, d, "pages"), POLICY).withColumn("quality_flags", F.array_join("quality_flags", ","))
+
+
+@query()
+def enrich_pages(spark, d):
+    pages = table(spark, d, "pages")
+    due = pages.select("page_id", urls.canonical(F.col("url"), POLICY).alias("c")).where("c is not null").select("page_id")
+    return html.metadata(pages.join(due, "page_id", "left_semi"), POLICY).select("page_id", "page_title", "summary", "summary_source", "published_hint")
+
+
+# ---- Discovery --------------------------------------------------------------------------------------------------
+
+_ANCHORS = f"""a0 AS (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>', 1) AS h, regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS t FROM pages),
+    a1 AS (SELECT page_id AS index_id, url AS base_url, i - 1 AS source_index, h[i] AS href, regexp_replace(trim(t[i]), '\\s+', ' ', 'g') AS title FROM a0, LATERAL (SELECT unnest(range(1, len(h) + 1)) AS i)),
+    a2 AS (SELECT *, {_part('base_url', 2)} || '://' || {_part('base_url', 4)} || href AS full_url FROM a1),
+    a3 AS (SELECT *, {_canonical('full_url')} AS url, {_error('full_url')} AS raw_error FROM a2),
+    a4 AS (SELECT *, CASE WHEN coalesce(trim(title), '') = '' THEN 'empty title' WHEN raw_error IS NOT NULL THEN raw_error WHEN NOT {_candidate('url', 'title')} THEN 'not a content candidate' END AS rejection_reason FROM a3),
+    classified AS (SELECT *, rejection_reason IS NULL AS accepted, CASE WHEN rejection_reason IS NULL THEN {_stable('url')} END AS stable_id FROM a4)"""
+_KEPT = "kept AS (SELECT *, row_number() OVER (PARTITION BY index_id, stable_id ORDER BY source_index) AS nth FROM classified WHERE accepted), items AS (SELECT *, row_number() OVER (PARTITION BY index_id ORDER BY source_index) AS position FROM kept WHERE nth = 1)"
+
+
+def anchors(spark, d):
+    pages = table(spark, d, "pages")
+    found = html.page_anchors(pages)
+    return found.join(pages.select("page_id", F.col("url").alias("base_url")), "page_id").withColumnRenamed("page_id", "index_id")
+
+
+@query(f"WITH {_ANCHORS} SELECT index_id, source_index::INTEGER AS source_index, href, url, stable_id, accepted, rejection_reason FROM classified")
+def classify_candidates(spark, d):
+    return discovery.classify(anchors(spark, d), POLICY).select("index_id", "source_index", "href", "url", "stable_id", "accepted", "rejection_reason")
+
+
+@query("WITH k AS (SELECT doc_id, sha256(text) AS stable_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id)::INTEGER AS nth FROM documents) SELECT doc_id, stable_id, nth, nth = 1 AS kept FROM k")
+def dedupe_first(spark, d):
+    rows = table(spark, d, "documents").select(F.lit(0).alias("index_id"), "doc_id", text.sha256(F.col("text")).alias("stable_id"))
+    return discovery.first_wins(rows, ["index_id"], "stable_id", "doc_id").select("doc_id", "stable_id", "nth", (F.col("nth") == 1).alias("kept"))
+
+
+@query(f"WITH {_ANCHORS}, {_KEPT} SELECT index_id, position::INTEGER AS position, stable_id FROM items")
+def index_positions(spark, d):
+    return discovery.items(discovery.classify(anchors(spark, d), POLICY)).select("index_id", "position", "stable_id")
+
+
+@query(f"WITH {_ANCHORS} SELECT index_id, source_index::INTEGER AS source_index, href || ': ' || rejection_reason AS rejection FROM classified WHERE NOT accepted")
+def rejections(spark, d):
+    return discovery.rejections(discovery.classify(anchors(spark, d), POLICY))
+
+
+@query(f"WITH {_ANCHORS}, {_KEPT}, h AS (SELECT index_id, list(DISTINCT {_path('url')}) AS have FROM items GROUP BY index_id) SELECT index_id, concat_ws(',', CASE WHEN NOT list_contains(have, '/de') THEN '/de' END, CASE WHEN NOT list_contains(have, '/the') THEN '/the' END) AS missing FROM h WHERE NOT (list_contains(have, '/de') AND list_contains(have, '/the'))")
+def missing_required(spark, d):
+    return discovery.missing_required(discovery.items(discovery.classify(anchors(spark, d), POLICY)), ["/the", "/de"])
+
+
+@query(
+    f"""WITH {_ANCHORS}, {_KEPT},
+    c AS (SELECT index_id, count(*) FILTER (nth = 1) AS n_items, count(*) FILTER (nth > 1) AS n_duplicates FROM kept GROUP BY index_id),
+    r AS (SELECT index_id, count(*) FILTER (NOT accepted) AS n_rejections FROM classified GROUP BY index_id),
+    s AS (SELECT r.index_id, coalesce(n_items, 0) AS n_items, coalesce(n_duplicates, 0) AS n_duplicates, n_rejections FROM r LEFT JOIN c ON r.index_id = c.index_id)
+    SELECT index_id, 'fallback' AS strategy, 0::BIGINT AS marked_count, n_items, n_duplicates, n_rejections,
+        CASE WHEN n_items = 0 THEN 1.0::DOUBLE ELSE round(least(1.0::DOUBLE, 1.0::DOUBLE + 0.05::DOUBLE * least(n_duplicates, 4) + 0.01::DOUBLE * least(n_rejections, 10)), 4) END AS drift_score,
+        CASE WHEN n_items < 5 THEN 'too few items' END AS error FROM s"""
+)
+def discover_index(spark, d):
+    return discovery.discover(anchors(spark, d), POLICY, 5, True)[1]
+
+
+_PRIOR = "(SELECT doc_id % 20 AS catalog_id, doc_id AS stable_id, 'u' || doc_id AS url, substr(text, 1, 40) AS title, (doc_id // 20)::INTEGER AS position FROM documents WHERE (doc_id // 20) % 11 <> 3)"
+_FOUND = "(SELECT doc_id % 20 AS catalog_id, doc_id AS stable_id, CASE WHEN doc_id % 13 = 0 THEN 'v' ELSE 'u' END || doc_id AS url, CASE WHEN doc_id % 17 = 0 THEN 'New ' ELSE '' END || substr(text, 1, 40) AS title, (doc_id // 20 + 1)::INTEGER AS position FROM documents WHERE (doc_id // 20) % 7 <> 2 AND NOT (doc_id % 20 = 4 AND doc_id > 300))"
+
+
+def _spark_sql(s: str) -> str:
+    return s.strip("()").replace("//", "div").replace("::INTEGER", "").replace("(doc_id div 20 + 1)", "cast(doc_id div 20 + 1 as int)")
+
+
+def prior_found(spark, d):
+    docs = table(spark, d, "documents")
+    place = F.expr("cast(doc_id div 20 as int)")
+    base = docs.select((F.col("doc_id") % 20).alias("catalog_id"), F.col("doc_id").alias("stable_id"), F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("url"), F.substring("text", 1, 40).alias("title"), place.alias("position"), "text")
+    prior = base.where("position % 11 <> 3")
+    found = base.where("position % 7 <> 2 and not (catalog_id = 4 and stable_id > 300)").select(
+        "catalog_id", "stable_id", F.concat(F.when(F.col("stable_id") % 13 == 0, "v").otherwise("u"), F.col("stable_id").cast("string")).alias("url"), F.concat(F.when(F.col("stable_id") % 17 == 0, "New ").otherwise(""), F.col("title")).alias("title"), (F.col("position") + 1).alias("position"), "text"
+    )
+    return prior, found
+
+
+@query(
+    f"""WITH b AS (SELECT coalesce(p.catalog_id, f.catalog_id) AS catalog_id, p.stable_id AS p, f.stable_id AS f FROM {_PRIOR} p FULL JOIN {_FOUND} f ON p.catalog_id = f.catalog_id AND p.stable_id = f.stable_id),
+    n AS (SELECT catalog_id, count(p) AS n_prior, count(*) FILTER (p IS NOT NULL AND f IS NULL) AS n_removed, count(*) FILTER (p IS NULL) AS n_added, count(*) FILTER (p IS NOT NULL AND f IS NOT NULL) AS n_common FROM b GROUP BY catalog_id)
+    SELECT *, CASE WHEN n_prior = 0 THEN NULL WHEN n_removed::DOUBLE / n_prior > 0.15 AND n_removed >= 5 THEN 'removed' WHEN n_added::DOUBLE / n_prior > 0.5 AND n_added >= 20 THEN 'added'
+        WHEN n_common::DOUBLE / n_prior < 0.7 AND n_prior >= 20 THEN 'overlap' WHEN catalog_id % 2 = 0 AND n_removed::DOUBLE / n_prior > 0.05 THEN 'fallback' END AS reason FROM n"""
+)
+def discovery_anomaly(spark, d):
+    prior, found = prior_found(spark, d)
+    return discovery.anomaly(prior, found, F.col("catalog_id") % 2 == 0)
+
+
+@query(f"SELECT catalog_id, stable_id, url, title, row_number() OVER (PARTITION BY catalog_id ORDER BY position)::INTEGER AS position, true AS is_permalink FROM {_PRIOR} p")
+def essays_from_catalog(spark, d):
+    prior, _ = prior_found(spark, d)
+    return prior.select("catalog_id", "stable_id", "url", "title", F.row_number().over(Window.partitionBy("catalog_id").orderBy("position")).alias("position"), F.lit(True).alias("is_permalink"))
+
+
+@query(f"WITH {_ANCHORS}, {_KEPT} SELECT index_id, sha256(string_agg(concat_ws(chr(9), position::VARCHAR, stable_id, url, title), chr(10) ORDER BY position)) AS fingerprint FROM items GROUP BY index_id")
+def index_fingerprint(spark, d):
+    return discovery.index_fingerprint(discovery.items(discovery.classify(anchors(spark, d), POLICY)))
