@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from crawlcat.config import HostPolicy
@@ -12,6 +14,11 @@ PARTS = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
 NAMESPACE_URL = "6ba7b8119dad11d180b400c04fd430c8"
 
 
+def let(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def part(url: Column, group: int) -> Column:
     return F.regexp_extract(url, PARTS, group)
 
@@ -26,7 +33,7 @@ def host(url: Column) -> Column:
 
 
 def path(url: Column) -> Column:
-    return F.when(part(url, 5) == "", "/").otherwise(part(url, 5))
+    return F.regexp_replace(part(url, 5), "^$", "/")
 
 
 def without_dots(p: Column) -> Column:
@@ -40,41 +47,40 @@ def without_dots(p: Column) -> Column:
 
 def resolve(base: Column, href: Column) -> Column:
     """``href`` as an absolute URL against an absolute ``base``."""
-    origin = F.concat(part(base, 2), F.lit("://"), part(base, 4))
-    own, tail = part(href, 5), F.concat(part(href, 6), part(href, 8))
-    folder = F.regexp_replace(path(base), r"[^/]*$", "")
-    rooted = F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))
-    return (
-        F.when(part(href, 2) != "", href)
-        .when(part(href, 3) != "", F.concat(part(base, 1), href))
-        .when(own != "", F.concat(origin, without_dots(rooted), tail))
-        .when(part(href, 6) != "", F.concat(origin, part(base, 5), tail))
-        .otherwise(F.concat(origin, part(base, 5), part(base, 6), part(href, 8)))
-    )
+    parts = F.struct(href.alias("href"), *(part(base, n).alias(f"b{n}") for n in (1, 2, 4, 5, 6)), *(part(href, n).alias(f"h{n}") for n in (2, 3, 5, 6, 8)))
+
+    def joined(x: Column) -> Column:
+        origin = F.concat(x["b2"], F.lit("://"), x["b4"])
+        folder = F.regexp_replace(F.regexp_replace(x["b5"], "^$", "/"), r"[^/]*$", "")
+        rooted = F.when(x["h5"].startswith("/"), x["h5"]).otherwise(F.concat(folder, x["h5"]))
+        return (
+            F.when(x["h2"] != "", x["href"])
+            .when(x["h3"] != "", F.concat(x["b1"], x["href"]))
+            .when(x["h5"] != "", F.concat(origin, let(rooted, without_dots), x["h6"], x["h8"]))
+            .when(x["h6"] != "", F.concat(origin, x["b5"], x["h6"], x["h8"]))
+            .otherwise(F.concat(origin, x["b5"], x["b6"], x["h8"]))
+        )
+
+    return let(parts, joined)
+
+
+def _below(names: tuple[str, ...]) -> str:
+    return "(^|\\.)(" + "|".join(re.escape(n) for n in names) + ")$" if names else "$^"
 
 
 def allowed(h: Column, policy: HostPolicy) -> Column:
-    below = [(h == s) | h.endswith(f".{s}") for s in policy.suffixes]
-    out = h.isin(*policy.hosts) if policy.hosts else F.lit(False)
-    for b in below:
-        out = out | b
-    return out
+    exact = "^(" + "|".join(re.escape(n) for n in policy.hosts) + ")$" if policy.hosts else "$^"
+    return h.rlike(f"{exact}|{_below(policy.suffixes)}")
 
 
 def apex_host(h: Column, policy: HostPolicy) -> Column:
     """``www.`` dropped where the policy names the host without it, or a host below."""
-    bare = F.substring(h, 5, 1_000)
-    ours = F.lit(False)
-    for a in policy.apex:
-        ours = ours | (bare == a) | bare.endswith(f".{a}")
-    return F.when(h.startswith("www.") & ours, bare).otherwise(h)
+    names = "|".join(re.escape(n) for n in policy.apex)
+    return F.regexp_replace(h, rf"^www\.((?:.*\.)?(?:{names}))$", "$1") if names else h
 
 
 def _under(h: Column, names: tuple[str, ...]) -> Column:
-    out = F.lit(False)
-    for n in names:
-        out = out | (h == n) | h.endswith(f".{n}")
-    return out
+    return h.rlike(_below(names))
 
 
 def url_error(url: Column, policy: HostPolicy) -> Column:
@@ -88,9 +94,10 @@ def canonical(url: Column, policy: HostPolicy) -> Column:
     Host lower-case and at its apex; port, user information and fragment
     dropped; path ``/`` by default; no query on CDN hosts.
     """
-    h = apex_host(host(url), policy)
-    query = F.when(_under(h, policy.cdn), "").otherwise(part(url, 6))
-    return F.when(url_error(url, policy).isNull(), F.concat(F.lit("https://"), h, path(url), query))
+    def form(u: Column) -> Column:
+        return let(apex_host(host(u), policy), lambda h: F.concat(F.lit("https://"), h, path(u), F.when(_under(h, policy.cdn), "").otherwise(part(u, 6))))
+
+    return let(url, lambda u: F.when(url_error(u, policy).isNull(), form(u)))
 
 
 def normalized(url: Column, policy: HostPolicy, loopback: bool = False) -> tuple[Column, Column]:
@@ -118,10 +125,11 @@ def content_candidate(url: Column, title: Column, policy: HostPolicy) -> Column:
 
 def uuid5(name: Column) -> Column:
     """Version-5 UUID of a URL."""
-    h = F.sha1(F.concat(F.unhex(F.lit(NAMESPACE_URL)), F.encode(name, "UTF-8")))
-    variant = F.substring(F.lit("89ab89ab89ab89ab"), 1, 16)
-    nibble = F.conv(F.substring(h, 17, 1), 16, 10).cast("int")
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(F.substr(variant, nibble + 1, F.lit(1)), F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    def dashed(h: Column) -> Column:
+        variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+        return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+
+    return let(F.sha1(F.concat(F.unhex(F.lit(NAMESPACE_URL)), F.encode(name, "UTF-8"))), dashed)
 
 
 def is_permalink(url: Column, policy: HostPolicy) -> Column:
