@@ -396,3 +396,411 @@ def essays_from_catalog(spark, d):
 @query(f"WITH {_ANCHORS}, {_KEPT} SELECT index_id, sha256(string_agg(concat_ws(chr(9), position::VARCHAR, stable_id, url, title), chr(10) ORDER BY position)) AS fingerprint FROM items GROUP BY index_id")
 def index_fingerprint(spark, d):
     return discovery.index_fingerprint(discovery.items(discovery.classify(anchors(spark, d), POLICY)))
+
+
+# ---- Catalog ----------------------------------------------------------------------------------------------------
+
+_BOTH = f"{_PRIOR} p FULL JOIN {_FOUND} f ON p.catalog_id = f.catalog_id AND p.stable_id = f.stable_id"
+_CHANGE = "CASE WHEN p.stable_id IS NULL THEN 'added' WHEN f.stable_id IS NULL THEN 'removed' WHEN p.url = f.url AND p.title = f.title THEN 'unchanged' ELSE 'updated' END"
+
+
+@query(f"SELECT coalesce(p.catalog_id, f.catalog_id) AS catalog_id, coalesce(p.stable_id, f.stable_id) AS stable_id, {_CHANGE} AS change FROM {_BOTH}")
+def reconcile_diff(spark, d):
+    return catalog.change(*prior_found(spark, d))
+
+
+def entries_of(prior: DataFrame) -> DataFrame:
+    old = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    summary = F.expr("CASE stable_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE substr(text, 1, 500) END")
+    return prior.select("catalog_id", "stable_id", "url", "title", "position", old.alias("first_seen_at"), old.alias("last_seen_at"), old.alias("observed_updated_at"), summary.alias("summary"))
+
+
+_SUMMARY = "CASE stable_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE substr(t.text, 1, 500) END"
+_ENTRIES = f"(SELECT p.*, TIMESTAMP '2024-01-15 00:00:00' AS first_seen_at, TIMESTAMP '2024-01-15 00:00:00' AS observed_updated_at, {_SUMMARY} AS summary FROM {_PRIOR} p JOIN documents t ON t.doc_id = p.stable_id)"
+_TIME = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+
+
+def stamp(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+@query(
+    f"""SELECT f.catalog_id, f.stable_id, f.url, f.title, f.position, {_TIME.format(f"coalesce(p.first_seen_at, TIMESTAMP '{NOW}')")} AS first_seen_at,
+    {_TIME.format(f"CASE WHEN p.url = f.url AND p.title = f.title THEN p.observed_updated_at ELSE TIMESTAMP '{NOW}' END")} AS observed_updated_at, p.summary
+    FROM {_FOUND} f LEFT JOIN {_ENTRIES} p ON p.catalog_id = f.catalog_id AND p.stable_id = f.stable_id"""
+)
+def reconcile_next(spark, d):
+    prior, found = prior_found(spark, d)
+    out = catalog.reconcile(entries_of(prior), found, now())
+    return out.select("catalog_id", "stable_id", "url", "title", "position", stamp("first_seen_at").alias("first_seen_at"), stamp("observed_updated_at").alias("observed_updated_at"), "summary")
+
+
+_ORDER = f"(SELECT catalog_id, CASE WHEN stable_id % 97 = 5 THEN stable_id + 20 ELSE stable_id END AS stable_id FROM {_PRIOR} p WHERE stable_id % 53 <> 7)"
+_FAULTY = f"(SELECT catalog_id, stable_id, CASE WHEN stable_id % 31 = 2 THEN ' ' ELSE url END AS url, CASE WHEN stable_id % 41 = 3 THEN position + 1 ELSE position END AS position FROM {_PRIOR} p)"
+
+
+@query(
+    f"""WITH o AS {_ORDER}, e AS {_FAULTY}
+    SELECT catalog_id, 'missing entry' AS fault, stable_id FROM o WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.catalog_id = o.catalog_id AND e.stable_id = o.stable_id)
+    UNION ALL SELECT catalog_id, 'not in order', stable_id FROM e WHERE NOT EXISTS (SELECT 1 FROM o WHERE e.catalog_id = o.catalog_id AND e.stable_id = o.stable_id)
+    UNION ALL SELECT catalog_id, 'repeated in order', stable_id FROM o GROUP BY catalog_id, stable_id HAVING count(*) > 1
+    UNION ALL SELECT catalog_id, 'repeated entry', stable_id FROM e GROUP BY catalog_id, stable_id HAVING count(*) > 1
+    UNION ALL SELECT catalog_id, 'blank url', stable_id FROM e WHERE trim(coalesce(url, '')) = ''
+    UNION ALL SELECT catalog_id, 'shared position', stable_id FROM (SELECT *, count(*) OVER (PARTITION BY catalog_id, position) AS n FROM e) WHERE n > 1"""
+)
+def catalog_invariants(spark, d):
+    prior, _ = prior_found(spark, d)
+    order = prior.where("stable_id % 53 <> 7").select("catalog_id", F.expr("CASE WHEN stable_id % 97 = 5 THEN stable_id + 20 ELSE stable_id END").alias("stable_id"))
+    entries = prior.select("catalog_id", "stable_id", F.expr("CASE WHEN stable_id % 31 = 2 THEN ' ' ELSE url END").alias("url"), F.expr("CASE WHEN stable_id % 41 = 3 THEN position + 1 ELSE position END").alias("position"))
+    return catalog.invariants(entries, order)
+
+
+@query(
+    f"""WITH e AS (SELECT *, stable_id % 3 = 0 AS due FROM {_PRIOR} p), n AS (SELECT *, count(*) OVER (PARTITION BY catalog_id) AS n FROM e),
+    t AS (SELECT *, ((position - (catalog_id * 7) % n) % n + n) % n AS turn FROM n), r AS (SELECT *, row_number() OVER (PARTITION BY catalog_id, due ORDER BY turn, position) AS nth FROM t)
+    SELECT catalog_id, stable_id, due, due AND nth <= 4 AS granted FROM r"""
+)
+def fetch_budget(spark, d):
+    prior, _ = prior_found(spark, d)
+    decisions = prior.withColumn("due", F.col("stable_id") % 3 == 0)
+    return catalog.grant(decisions, 4, F.col("catalog_id") * 7).select("catalog_id", "stable_id", "due", "granted")
+
+
+@query("SELECT user_id, count(*) AS n, (user_id * 3 + greatest(1, count(*) FILTER (event_type = 'error'))) % greatest(1, count(*)) AS next FROM events GROUP BY user_id")
+def cursor_advance(spark, d):
+    g = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("served"))
+    return g.select("user_id", "n", catalog.next_cursor(F.col("user_id") * 3, F.col("served"), F.col("n")).alias("next"))
+
+
+@query("SELECT event_id, least(168, power(2.0, least(greatest(event_id % 14 - 1, 0), 30)))::INTEGER AS hours FROM events")
+def failure_backoff(spark, d):
+    return table(spark, d, "events").select("event_id", http.backoff_hours((F.col("event_id") % 14).cast("int")).cast("int").alias("hours"))
+
+
+_RES = """s AS (SELECT user_id, max(ts) FILTER (event_type <> 'error') AS ok, max(ts) AS attempt FROM events GROUP BY user_id),
+    f AS (SELECT s.user_id, any_value(ok) AS ok, any_value(attempt) AS attempt, count(e.event_id) AS failures FROM s LEFT JOIN events e ON e.user_id = s.user_id AND e.event_type = 'error' AND (s.ok IS NULL OR e.ts > s.ok) GROUP BY s.user_id),
+    res AS (SELECT user_id, CASE WHEN user_id % 9 = 0 THEN ok - INTERVAL 400 DAY WHEN user_id % 9 = 1 THEN ok + INTERVAL 4000 DAY ELSE ok END AS ok, failures, CASE WHEN failures > 0 THEN attempt + to_hours(least(168, power(2.0, failures - 1))::INTEGER) END AS retry, CASE WHEN user_id % 4 = 0 THEN ' ' WHEN user_id % 4 = 1 THEN NULL ELSE 'said' END AS summary, user_id % 10 = 3 AS canary FROM f)"""
+_NOW_EVENTS = "2024-01-31 12:00:00"
+
+
+def resources(spark, d):
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    s = e.groupBy("user_id").agg(F.max(F.when(F.col("event_type") != "error", F.col("ts"))).alias("ok"), F.max("ts").alias("attempt"))
+    bad = e.where("event_type = 'error'").join(s.select("user_id", "ok"), "user_id").where("ok is null or ts > ok").groupBy("user_id").agg(F.count("*").alias("failures"))
+    r = s.join(bad, "user_id", "left").fillna(0, ["failures"])
+    retry = F.when(F.col("failures") > 0, F.col("attempt") + F.make_dt_interval(hours=http.backoff_hours(F.col("failures")).cast("int")))
+    return r.select("user_id", F.expr("CASE WHEN user_id % 9 = 0 THEN ok - INTERVAL 400 DAY WHEN user_id % 9 = 1 THEN ok + INTERVAL 4000 DAY ELSE ok END").alias("ok"), "failures", retry.alias("retry"), F.expr("CASE WHEN user_id % 4 = 0 THEN ' ' WHEN user_id % 4 = 1 THEN NULL ELSE 'said' END").alias("summary"), (F.col("user_id") % 10 == 3).alias("canary"))
+
+
+_STALE = f"(ok IS NULL OR ok > TIMESTAMP '{_NOW_EVENTS}' OR TIMESTAMP '{_NOW_EVENTS}' - ok >= INTERVAL 30 DAY)"
+
+
+@query(f"WITH {_RES} SELECT user_id, failures, {_STALE} AS stale FROM res")
+def stale_resources(spark, d):
+    at = F.lit(_NOW_EVENTS).cast("timestamp")
+    return resources(spark, d).select("user_id", "failures", catalog.is_stale(F.col("ok"), at).alias("stale"))
+
+
+@query(
+    f"""WITH {_RES}, r AS (SELECT user_id, concat_ws(',', CASE WHEN {_STALE} THEN 'stale' END, CASE WHEN trim(coalesce(summary, '')) = '' AND (retry IS NULL OR retry <= TIMESTAMP '{_NOW_EVENTS}') THEN 'missing_metadata' END, CASE WHEN canary THEN 'canary' END) AS r FROM res)
+    SELECT user_id, CASE WHEN r = '' THEN 'not_due' ELSE r END AS reasons FROM r"""
+)
+def plan_refresh(spark, d):
+    at = F.lit(_NOW_EVENTS).cast("timestamp")
+    r = catalog.reasons(F.col("ok"), F.col("summary"), F.col("retry"), F.col("canary"), at)
+    return resources(spark, d).select("user_id", F.array_join(r, ",").alias("reasons"))
+
+
+_BAD = "chr(65533)"
+_CAT = f"""cat AS (SELECT doc_id AS stable_id, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN substr(text, 1, 50) ELSE 'old summary' END AS summary, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'good summary' END AS prior_good_summary, CASE WHEN doc_id % 6 = 0 THEN 'May 2001' END AS published_hint, (doc_id % 9)::INTEGER AS failure_count FROM documents),
+    ev AS (SELECT doc_id AS stable_id, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 304 WHEN 2 THEN 503 ELSE 200 END AS status, CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN 'damaged ' || {_BAD} ELSE substr(text, 1, 50) END AS n, CASE WHEN doc_id % 8 = 0 THEN 'May 2001' END AS n_hint FROM documents WHERE doc_id % 11 <> 4),
+    j AS (SELECT cat.*, ev.status, nullif(trim(n), '') AS n, n_hint, ev.stable_id IS NOT NULL AS seen, ev.stable_id IS NOT NULL AND coalesce(status BETWEEN 200 AND 299, false) AS ok, ev.stable_id IS NOT NULL AND coalesce(status = 304, false) AS same FROM cat LEFT JOIN ev ON cat.stable_id = ev.stable_id),
+    g AS (SELECT *, coalesce(contains(n, {_BAD}), false) AS damaged, CASE WHEN (n IS NOT NULL AND NOT coalesce(contains(n, {_BAD}), false)) OR (prior_good_summary IS NULL AND n IS NOT NULL) THEN n ELSE prior_good_summary END AS good FROM j),
+    x AS (SELECT *, CASE WHEN n IS NULL AND good IS NOT NULL THEN good WHEN damaged AND good IS NOT NULL AND NOT contains(good, {_BAD}) THEN good ELSE n END AS effective FROM g)"""
+
+
+@query(
+    f"""WITH {_CAT} SELECT stable_id, CASE WHEN ok THEN effective ELSE summary END AS summary, CASE WHEN ok THEN good ELSE prior_good_summary END AS prior_good_summary, CASE WHEN ok THEN coalesce(n_hint, published_hint) ELSE published_hint END AS published_hint,
+    ok AND (coalesce(effective, '') <> coalesce(summary, '') OR n_hint IS DISTINCT FROM published_hint) AS moved, CASE WHEN ok OR same THEN 0 WHEN seen THEN failure_count + 1 ELSE failure_count END::INTEGER AS failure_count,
+    CASE WHEN seen AND NOT ok AND NOT same THEN least(168, power(2.0, failure_count))::INTEGER END AS retry_hours FROM x"""
+)
+def apply_enrichment(spark, d):
+    docs = table(spark, d, "documents")
+    none = F.lit(None).cast("timestamp")
+    old = F.lit("2024-01-01").cast("timestamp")
+    cat = docs.select(
+        F.lit(0).alias("catalog_id"), F.col("doc_id").alias("stable_id"), F.expr("CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN substr(text, 1, 50) ELSE 'old summary' END").alias("summary"), F.expr("CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'good summary' END").alias("prior_good_summary"),
+        F.lit(None).cast("string").alias("summary_source"), F.lit(None).cast("double").alias("summary_quality"), F.expr("CASE WHEN doc_id % 6 = 0 THEN 'May 2001' END").alias("published_hint"), none.alias("published_at"), old.alias("observed_updated_at"), F.lit("e").alias("etag"),
+        F.lit("h").alias("raw_sha256"), old.alias("last_success_at"), old.alias("last_attempted_at"), F.expr("cast(doc_id % 9 as int)").alias("failure_count"), none.alias("next_retry_at"),
+    )
+    n = F.expr("CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN concat('damaged ', decode(X'EFBFBD', 'UTF-8')) ELSE substr(text, 1, 50) END")
+    ev = docs.where("doc_id % 11 <> 4").select(F.lit(0).alias("catalog_id"), F.col("doc_id").alias("stable_id"), F.expr("CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 304 WHEN 2 THEN 503 ELSE 200 END").alias("status"), n.alias("summary"), F.expr("CASE WHEN doc_id % 8 = 0 THEN 'May 2001' END").alias("published_hint"), none.alias("published_at"), F.lit("n").alias("etag"), F.lit("n").alias("raw_sha256"))
+    out = catalog.merge(cat, ev, now())
+    hours = F.floor((F.unix_timestamp("next_retry_at") - F.unix_timestamp(now())) / 3600).cast("int")
+    return out.select("stable_id", "summary", "prior_good_summary", "published_hint", (F.col("observed_updated_at") == now()).alias("moved"), "failure_count", hours.alias("retry_hours"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN coalesce(CASE WHEN event_id % 3 = 0 THEN event_id END, CASE WHEN event_id % 5 IN (0, 1, 2) THEN event_id + 1 END) ELSE CASE WHEN event_id % 3 = 0 THEN event_id END END AS success, CASE WHEN event_id % 2 = 0 THEN event_id + 1 END AS attempted FROM events")
+def migrate_resource_state(spark, d):
+    at = lambda c: F.timestamp_seconds(c)
+    i = F.col("event_id")
+    rows = table(spark, d, "events").select(
+        "event_id", F.when(i % 2 == 0, 1).otherwise(2).alias("version"), F.when(i % 5 == 0, None).when(i % 5 == 1, 200).when(i % 5 == 2, 304).otherwise(500).alias("status_code"), at(i + 1).alias("last_checked_at"),
+        F.when(i % 3 == 0, at(i)).alias("last_success_at"), F.lit(None).cast("timestamp").alias("last_attempted_at"), F.lit(None).cast("timestamp").alias("last_response_at"),
+    )
+    out = catalog.migrate_resource(rows)
+    return out.select("event_id", F.unix_timestamp("last_success_at").alias("success"), F.unix_timestamp("last_attempted_at").alias("attempted"))
+
+
+@query(
+    """WITH i AS (SELECT doc_id % 10 AS catalog_id, doc_id AS n, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE 'id' || (doc_id % 10) || '-' || ((doc_id // 10) % 60) END AS id, CASE WHEN doc_id % 17 = 0 THEN NULL ELSE 'u' || doc_id END AS url, substr(text, 1, 20) AS title FROM documents),
+    v AS (SELECT catalog_id, n, trim(id) AS id, trim(url) AS url, trim(title) AS title FROM i WHERE trim(id) <> '' AND trim(url) <> '' AND trim(title) <> ''), k AS (SELECT *, row_number() OVER (PARTITION BY catalog_id, id ORDER BY n) AS k FROM v)
+    SELECT catalog_id, id AS stable_id, url, title, (row_number() OVER (PARTITION BY catalog_id ORDER BY n) - 1)::INTEGER AS position FROM k WHERE k = 1"""
+)
+def bootstrap_catalog(spark, d):
+    i = F.col("doc_id")
+    name = F.concat(F.lit("id"), (i % 10).cast("string"), F.lit("-"), (F.expr("doc_id div 10") % 60).cast("string"))
+    items = table(spark, d, "documents").select((i % 10).alias("catalog_id"), i.alias("n"), F.when(i % 13 == 0, " ").otherwise(name).alias("id"), F.when(i % 17 == 0, None).otherwise(F.concat(F.lit("u"), i.cast("string"))).alias("url"), F.substring("text", 1, 20).alias("title"), F.lit(None).cast("string").alias("summary"))
+    return catalog.bootstrap(items, now()).select("catalog_id", "stable_id", "url", "title", "position")
+
+
+@query(f"SELECT catalog_id, sha256(string_agg(concat_ws(chr(9), position::VARCHAR, stable_id::VARCHAR, coalesce(summary, '\\N'), title, url), chr(10) ORDER BY position, stable_id)) AS digest FROM {_ENTRIES} e GROUP BY catalog_id")
+def material_digest(spark, d):
+    e = entries_of(prior_found(spark, d)[0])
+    return catalog.digest(e, ["position", "stable_id", "summary", "title", "url"])
+
+
+@query(
+    f"""WITH c AS (SELECT coalesce(p.catalog_id, f.catalog_id) AS catalog_id, {_CHANGE} AS change FROM {_BOTH} AND p.catalog_id % 2 = 0), n AS (SELECT catalog_id, count(*) FILTER (change <> 'unchanged' AND catalog_id % 3 > 0) AS n FROM c GROUP BY 1),
+    u AS (SELECT catalog_id, count(*) FILTER (catalog_id % 5 = 0 AND stable_id % 3 = 0) AS n_due FROM {_PRIOR} q GROUP BY 1)
+    SELECT coalesce(n.catalog_id, u.catalog_id) AS catalog_id, coalesce(n, 0) = 0 AND coalesce(n_due, 0) = 0 AS skip FROM n FULL JOIN u ON n.catalog_id = u.catalog_id""".replace(" AND p.catalog_id % 2 = 0)", ")")
+)
+def skip_gate(spark, d):
+    prior, found = prior_found(spark, d)
+    changes = catalog.change(prior, found).withColumn("change", F.when(F.col("catalog_id") % 3 > 0, F.col("change")).otherwise("unchanged"))
+    return catalog.skip_publish(changes, prior.withColumn("due", (F.col("catalog_id") % 5 == 0) & (F.col("stable_id") % 3 == 0)))
+
+
+@query(f"SELECT catalog_id, stable_id FROM (SELECT *, row_number() OVER (PARTITION BY catalog_id ORDER BY position) AS k FROM {_PRIOR} p WHERE stable_id % 3 <> 0) WHERE k <= 10")
+def probe_set(spark, d):
+    prior, _ = prior_found(spark, d)
+    return catalog.probe_set(prior, prior.withColumn("due", F.col("stable_id") % 3 == 0), 10).select("catalog_id", "stable_id")
+
+
+@query(f"WITH a AS (SELECT catalog_id, sha256(string_agg(concat_ws(chr(9), title, url), chr(10) ORDER BY position, stable_id)) AS x FROM {_PRIOR} p GROUP BY 1), b AS (SELECT catalog_id, sha256(string_agg(concat_ws(chr(9), title, url), chr(10) ORDER BY position, stable_id)) AS x FROM {_PRIOR} p WHERE NOT (catalog_id % 4 = 1 AND position = 2) GROUP BY 1) SELECT a.catalog_id, a.x = b.x AS unchanged FROM a JOIN b ON a.catalog_id = b.catalog_id")
+def material_noop(spark, d):
+    prior, _ = prior_found(spark, d)
+    a = catalog.digest(prior, ["title", "url"])
+    b = catalog.digest(prior.where("not (catalog_id % 4 = 1 and position = 2)"), ["title", "url"]).withColumnRenamed("digest", "other")
+    return a.join(b, "catalog_id").select("catalog_id", (F.col("digest") == F.col("other")).alias("unchanged"))
+
+
+# ---- Feeds and verification --------------------------------------------------------------------------------------
+
+_ITEM_SUMMARY = f"CASE WHEN variant = 'enriched' THEN {_truncated(f'coalesce(nullif(summary, {chr(39) * 2}), {_blurb(chr(116) + chr(105) + chr(116) + chr(108) + chr(101))})')} ELSE {_truncated(_blurb('title'))} END"
+_ITEMS = f"(SELECT catalog_id, variant, position, stable_id::VARCHAR AS id, url, title, {_ITEM_SUMMARY} AS summary, CASE WHEN stable_id % 2 = 0 THEN TIMESTAMP '2023-05-06 07:08:09' END AS published_at FROM {_ENTRIES} e, (SELECT unnest(['enriched', 'simple']) AS variant))"
+
+
+def snapshot(spark, d):
+    e = entries_of(prior_found(spark, d)[0]).withColumn("published_at", F.when(F.col("stable_id") % 2 == 0, F.lit("2023-05-06 07:08:09").cast("timestamp")))
+    return feeds.snapshot(e.withColumn("stable_id", F.col("stable_id").cast("string")), IDENTITY)
+
+
+@query(f"SELECT catalog_id, variant, position, id, url, title, summary FROM {_ITEMS} i")
+def feed_snapshot(spark, d):
+    return snapshot(spark, d).select("catalog_id", "variant", "position", "id", "url", "title", "summary")
+
+
+def _xml(s: str) -> str:
+    return f"replace(replace(replace({s}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+_DATE822, _DATE3339 = "strftime({}, '%a, %d %b %Y %H:%M:%S') || ' GMT'", "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
+_NL = "chr(10)"
+
+
+@query(
+    f"""SELECT catalog_id, variant, position, '    <item>' || {_NL} || '      <title>' || {_xml('title')} || '</title>' || {_NL} || '      <link>' || {_xml('url')} || '</link>' || {_NL} || '      <guid isPermaLink="' || CASE WHEN id = url THEN 'true' ELSE 'false' END || '">' || {_xml('id')} || '</guid>' || {_NL}
+    || coalesce('      <pubDate>' || {_DATE822.format('published_at')} || '</pubDate>' || {_NL}, '') || '      <description>' || {_xml('summary')} || '</description>' || {_NL} || '      <dc:creator>{AUTHOR}</dc:creator>' || {_NL} || '    </item>' || {_NL} AS item FROM {_ITEMS} i"""
+)
+def render_rss_items(spark, d):
+    return snapshot(spark, d).select("catalog_id", "variant", "position", feeds.rss_item(AUTHOR).alias("item"))
+
+
+@query(
+    f"""SELECT catalog_id, variant, position, '  <entry>' || {_NL} || '    <title>' || {_xml('title')} || '</title>' || {_NL} || '    <id>' || {_xml('id')} || '</id>' || {_NL} || '    <link rel="alternate" type="text/html" href="' || replace({_xml('url')}, '"', '&quot;') || '" />' || {_NL} || '    <updated>2024-01-15T00:00:00Z</updated>' || {_NL}
+    || coalesce('    <published>' || {_DATE3339.format('published_at')} || '</published>' || {_NL}, '') || '    <summary>' || {_xml('summary')} || '</summary>' || {_NL} || '    <author>' || {_NL} || '      <name>{AUTHOR}</name>' || {_NL} || '    </author>' || {_NL} || '  </entry>' || {_NL} AS entry FROM {_ITEMS} i"""
+)
+def render_atom_entries(spark, d):
+    return snapshot(spark, d).select("catalog_id", "variant", "position", feeds.atom_entry(AUTHOR).alias("entry"))
+
+
+def _quoted(s: str) -> str:
+    esc = f"replace(replace(replace(replace(replace({s}, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(9), chr(92) || 't'), chr(13), chr(92) || 'r')"
+    return f"'\"' || {esc} || '\"'"
+
+
+@query(
+    f"""SELECT catalog_id, variant, position, '{{"id":' || {_quoted('id')} || ',"url":' || {_quoted('url')} || ',"title":' || {_quoted('title')} || ',"summary":' || {_quoted('summary')} || ',"content_text":' || {_quoted('summary')} || ',"date_modified":"2024-01-15T00:00:00Z"'
+    || coalesce(',"date_published":"' || {_DATE3339.format('published_at')} || '"', '') || '}}' AS item FROM {_ITEMS} i"""
+)
+def render_json_items(spark, d):
+    return snapshot(spark, d).select("catalog_id", "variant", "position", feeds.json_item().alias("item"))
+
+
+def published(spark, d):
+    docs = feeds.documents(snapshot(spark, d), IDENTITY)
+    return docs.select(F.concat_ws("-", F.col("catalog_id").cast("string"), "variant").alias("feed_id"), "rss", "atom", "json")
+
+
+_PARSED = f"SELECT catalog_id || '-' || variant AS feed_id, (row_number() OVER (PARTITION BY catalog_id, variant ORDER BY position) - 1)::INTEGER AS idx, id AS item_id, title, url, summary FROM {_ITEMS} i"
+
+
+@query(_PARSED)
+def parse_rss(spark, d):
+    return verify.parse_rss(published(spark, d).select("feed_id", F.col("rss").alias("body")))[0].select("feed_id", "idx", "item_id", "title", "url", "summary")
+
+
+@query(_PARSED)
+def parse_atom(spark, d):
+    return verify.parse_atom(published(spark, d).select("feed_id", F.col("atom").alias("body")))[0].select("feed_id", "idx", "item_id", "title", "url", "summary")
+
+
+@query(_PARSED)
+def parse_json_feed(spark, d):
+    return verify.parse_json(published(spark, d).select("feed_id", F.col("json").alias("body")))[0].select("feed_id", "idx", "item_id", "title", "url", "summary")
+
+
+_VIEWS = """v AS (SELECT (doc_id % 25)::VARCHAR AS feed_id, fmt, (doc_id // 25)::INTEGER AS idx, CASE WHEN doc_id % 37 = 5 THEN '' WHEN doc_id % 41 = 6 AND fmt = 'rss' THEN 'x' ELSE 'id' || (CASE WHEN doc_id % 29 = 3 THEN doc_id - 25 ELSE doc_id END) END AS item_id,
+    CASE WHEN doc_id % 43 = 7 THEN ' ' ELSE substr(text, 1, 20) END AS title, 'u' || doc_id AS url, CASE WHEN doc_id % 47 = 8 THEN '' WHEN doc_id % 53 = 9 THEN substr(text, 1, 405) WHEN doc_id % 59 = 10 AND fmt = 'atom' THEN 'other' ELSE substr(text, 1, 30) END AS summary
+    FROM documents, (SELECT unnest(['rss', 'atom', 'json']) AS fmt) WHERE NOT (fmt = 'json' AND doc_id % 25 = 3 AND doc_id // 25 = 1))"""
+
+
+def views(spark, d):
+    fmt = F.explode(F.array(*map(F.lit, ("rss", "atom", "json")))).alias("fmt")
+    rows = table(spark, d, "documents").select("doc_id", "text", fmt).where("not (fmt = 'json' and doc_id % 25 = 3 and doc_id div 25 = 1)")
+    summary = F.expr("CASE WHEN doc_id % 47 = 8 THEN '' WHEN doc_id % 53 = 9 THEN substr(text, 1, 405) WHEN doc_id % 59 = 10 AND fmt = 'atom' THEN 'other' ELSE substr(text, 1, 30) END")
+    return rows.select(
+        (F.col("doc_id") % 25).cast("string").alias("feed_id"), "fmt", F.expr("cast(doc_id div 25 as int)").alias("idx"), F.expr("CASE WHEN doc_id % 37 = 5 THEN '' WHEN doc_id % 41 = 6 AND fmt = 'rss' THEN 'x' ELSE concat('id', cast(CASE WHEN doc_id % 29 = 3 THEN doc_id - 25 ELSE doc_id END as string)) END").alias("item_id"),
+        F.expr("CASE WHEN doc_id % 43 = 7 THEN ' ' ELSE substr(text, 1, 20) END").alias("title"), F.expr("concat('u', doc_id)").alias("url"), summary.alias("summary"),
+    ).withColumn("content_text", F.when(F.col("idx") % 5 == 4, None).otherwise(F.col("summary")))
+
+
+@query(f"WITH {_VIEWS}, w AS (SELECT *, min(idx) OVER (PARTITION BY feed_id, fmt, item_id) AS first_idx FROM v WHERE item_id <> '') SELECT feed_id, 'DUPLICATE_ID' AS code, fmt, idx, first_idx FROM w WHERE idx > first_idx")
+def verify_duplicates(spark, d):
+    return verify.duplicates(views(spark, d))
+
+
+@query(
+    f"""WITH {_VIEWS}, w AS (SELECT *, CASE WHEN idx % 5 = 4 THEN NULL ELSE summary END AS content_text FROM v),
+    c AS (SELECT feed_id, fmt, idx, unnest([CASE WHEN trim(item_id) = '' THEN 'EMPTY_ID' END, CASE WHEN trim(title) = '' THEN 'EMPTY_TITLE' END, CASE WHEN trim(url) = '' THEN 'EMPTY_URL' END, CASE WHEN trim(summary) = '' THEN 'EMPTY_SUMMARY' END,
+        CASE WHEN trim(summary) <> '' AND length(summary) > 400 THEN 'SUMMARY_LENGTH' END, CASE WHEN contains(title || summary, chr(65533)) THEN 'UNICODE_REPLACEMENT' END, CASE WHEN fmt = 'json' AND content_text IS DISTINCT FROM summary THEN 'CONTENT_TEXT_MISMATCH' END]) AS code FROM w)
+    SELECT feed_id, code, fmt, idx FROM c WHERE code IS NOT NULL"""
+)
+def verify_fields(spark, d):
+    return verify.field_faults(views(spark, d))
+
+
+@query(
+    f"""WITH {_VIEWS}, s AS (SELECT feed_id, count(*) FILTER (fmt = 'rss') AS r, count(*) FILTER (fmt = 'atom') AS a, count(*) FILTER (fmt = 'json') AS j FROM v GROUP BY 1),
+    t AS (SELECT x.feed_id, x.idx, x.item_id = y.item_id AND y.item_id = z.item_id AS ids, x.title = y.title AND y.title = z.title AS titles, x.url = y.url AND y.url = z.url AS urls, x.summary = y.summary AND y.summary = z.summary AS summaries
+        FROM v x JOIN v y ON x.feed_id = y.feed_id AND x.idx = y.idx AND x.fmt = 'rss' AND y.fmt = 'atom' JOIN v z ON x.feed_id = z.feed_id AND x.idx = z.idx AND z.fmt = 'json' WHERE x.feed_id IN (SELECT feed_id FROM s WHERE r = a AND a = j)),
+    b AS (SELECT feed_id, bool_or(NOT ids) AS bad FROM t GROUP BY 1)
+    SELECT feed_id, 'COUNT_MISMATCH' AS code, 'all' AS fmt, NULL::INTEGER AS idx FROM s WHERE NOT (r = a AND a = j) UNION ALL SELECT feed_id, 'BELOW_MIN_ITEMS', 'all', NULL FROM s WHERE r = a AND a = j AND r < 40
+    UNION ALL SELECT feed_id, 'ID_ORDER_MISMATCH', 'all', NULL FROM b WHERE bad
+    UNION ALL SELECT t.feed_id, 'TITLE_ORDER_MISMATCH', 'all', idx FROM t JOIN b ON t.feed_id = b.feed_id WHERE NOT bad AND NOT titles UNION ALL SELECT t.feed_id, 'URL_ORDER_MISMATCH', 'all', idx FROM t JOIN b ON t.feed_id = b.feed_id WHERE NOT bad AND NOT urls
+    UNION ALL SELECT t.feed_id, 'SUMMARY_ORDER_MISMATCH', 'all', idx FROM t JOIN b ON t.feed_id = b.feed_id WHERE NOT bad AND NOT summaries"""
+)
+def verify_parity(spark, d):
+    return verify.parity(views(spark, d), 40)
+
+
+@query(f"WITH {_VIEWS}, e AS (SELECT (doc_id % 25)::VARCHAR AS catalog_id, (doc_id // 25)::INTEGER AS idx, 'id' || doc_id AS want FROM documents), g AS (SELECT feed_id, idx, item_id AS got FROM v WHERE fmt = 'json') SELECT coalesce(catalog_id, feed_id) AS catalog_id, coalesce(e.idx, g.idx) AS idx FROM e FULL JOIN g ON catalog_id = feed_id AND e.idx = g.idx WHERE want IS DISTINCT FROM got")
+def catalog_feed_parity(spark, d):
+    e = table(spark, d, "documents").select((F.col("doc_id") % 25).cast("string").alias("catalog_id"), F.expr("cast(doc_id div 25 as int)").alias("position"), F.expr("concat('id', doc_id)").alias("stable_id"))
+    return verify.order_parity(e, views(spark, d).where("fmt = 'json'"))
+
+
+# ---- Transport ----------------------------------------------------------------------------------------------------
+
+_STATUS = "CASE event_type WHEN 'error' THEN 500 + event_id % 5 WHEN 'click' THEN 304 WHEN 'view' THEN 200 + event_id % 5 ELSE 400 + event_id % 32 END"
+
+
+@query(f"WITH e AS (SELECT event_id, {_STATUS} AS status, props FROM events) SELECT event_id, CASE WHEN status = 304 THEN 'not_modified' WHEN status BETWEEN 200 AND 299 THEN 'fetched' ELSE 'failed' END AS kind, CASE WHEN length(props) > 9 THEN sha256(props) END AS sha256 FROM e")
+def classify_responses(spark, d):
+    e = table(spark, d, "events").select("event_id", F.expr(_STATUS).alias("status"), "props")
+    return e.select("event_id", http.result_kind(F.col("status")).alias("kind"), F.when(F.length("props") > 9, text.sha256(F.col("props"))).alias("sha256"))
+
+
+_RETRY, _PERM = ", ".join(map(str, http.RETRYABLE)), ", ".join(map(str, http.RETRYABLE_CLIENT))
+
+
+@query(f"WITH e AS (SELECT event_id, {_STATUS} AS s FROM events) SELECT event_id, s IN ({_RETRY}) AS retryable, s BETWEEN 400 AND 499 AND s NOT IN ({_PERM}) AS permanent FROM e")
+def status_classes(spark, d):
+    s = F.col("s")
+    return table(spark, d, "events").select("event_id", F.expr(_STATUS).alias("s")).select("event_id", http.is_retryable(s).alias("retryable"), http.is_permanent(s).alias("permanent"))
+
+
+_HEADER = "CASE event_id % 6 WHEN 0 THEN 'Text/HTML; charset=UTF-8' WHEN 1 THEN 'application/json' WHEN 2 THEN '' WHEN 3 THEN 'text/plain;format=flowed; Charset=\"latin1\"' WHEN 4 THEN NULL ELSE ' text/html ;' END"
+_LENGTH = "CASE event_id % 5 WHEN 0 THEN '120' WHEN 1 THEN '-4' WHEN 2 THEN ' +7 ' WHEN 3 THEN 'x1' ELSE NULL END"
+
+
+@query(
+    f"""WITH e AS (SELECT event_id, {_HEADER} AS h, {_LENGTH} AS l FROM events), m AS (SELECT *, nullif(lower(trim(split_part(h, ';', 1))), '') AS media FROM e)
+    SELECT event_id, media, nullif(lower(regexp_extract(h, '(?i);\\s*charset\\s*=\\s*["'']?([^"'';\\s]+)', 1)), '') AS charset, coalesce(media, '') IN ('text/html', 'application/xhtml+xml', 'application/xml', 'text/xml', 'text/plain') AS soft_html, CASE WHEN regexp_matches(trim(l), '^\\+?\\d{{1,18}}$') THEN replace(trim(l), '+', '')::BIGINT END AS length FROM m"""
+)
+def content_types(spark, d):
+    h, l = F.col("h"), F.col("l")
+    e = table(spark, d, "events").select("event_id", F.expr(_HEADER).alias("h"), F.expr(_LENGTH).alias("l"))
+    return e.select("event_id", http.media_type(h).alias("media"), http.charset(h).alias("charset"), http.is_soft_html(http.media_type(h)).alias("soft_html"), http.content_length(l).alias("length"))
+
+
+@query("SELECT user_id, concat_ws('|', CASE WHEN user_id % 3 > 0 THEN 'If-None-Match=e' || user_id END, CASE WHEN user_id % 2 > 0 THEN 'If-Modified-Since=m' END) AS headers FROM (SELECT DISTINCT user_id FROM events)")
+def conditional_headers(spark, d):
+    u = table(spark, d, "events").select("user_id").distinct()
+    h = http.conditional_headers(F.when(F.col("user_id") % 3 > 0, F.concat(F.lit("e"), F.col("user_id").cast("string"))), F.when(F.col("user_id") % 2 > 0, "m").otherwise(""))
+    return u.select("user_id", F.array_join(F.transform(F.map_entries(h), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|").alias("headers"))
+
+
+_AFTER = "CASE event_id % 7 WHEN 0 THEN '0' WHEN 1 THEN '  45  ' WHEN 2 THEN '+10' WHEN 3 THEN '9999' WHEN 4 THEN '12.5' WHEN 5 THEN 'not-a-date' ELSE strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' GMT' END"
+
+
+@query(f"WITH e AS (SELECT event_id, ts, event_id % 7 AS k FROM events) SELECT event_id, CASE k WHEN 0 THEN 0.0 WHEN 1 THEN 45.0 WHEN 2 THEN 10.0 WHEN 3 THEN 120.0 WHEN 6 THEN least(120.0, greatest(0.0, floor(epoch(date_trunc('second', ts))) - epoch(TIMESTAMP '2024-01-20 00:00:00'))) END::DOUBLE AS seconds FROM e")
+def retry_after(spark, d):
+    h = F.expr(_AFTER.split("ELSE")[0] + "ELSE concat(date_format(ts, 'EEE, dd MMM yyyy HH:mm:ss'), ' GMT') END")
+    return table(spark, d, "events").select("event_id", h.alias("h")).select("event_id", http.retry_after(F.col("h"), F.lit("2024-01-20 00:00:00").cast("timestamp")).alias("seconds"))
+
+
+@query("SELECT event_id, least(8.0::DOUBLE, 0.4::DOUBLE * power(2.0::DOUBLE, greatest(event_id % 12, 1) - 1)) AS bound, greatest(least(8.0::DOUBLE, 0.4::DOUBLE * power(2.0::DOUBLE, greatest(event_id % 12, 1) - 1)), coalesce(CASE WHEN event_id % 3 = 0 THEN 5.0 END, 0.0))::DOUBLE AS wait FROM events")
+def jitter_bounds(spark, d):
+    n = (F.col("event_id") % 12).cast("int")
+    return table(spark, d, "events").select("event_id", http.jitter_bound(n).alias("bound"), http.wait_bound(n, F.when(F.col("event_id") % 3 == 0, 5.0)).alias("wait"))
+
+
+@query(f"SELECT page_id, {_host('url')} AS host, (row_number() OVER (PARTITION BY {_host('url')} ORDER BY page_id) - 1) * 0.5::DOUBLE AS start FROM pages")
+def host_schedule(spark, d):
+    p = table(spark, d, "pages").select("page_id", urls.host(F.col("url")).alias("host"))
+    return p.select("page_id", "host", http.host_schedule_start(F.row_number().over(Window.partitionBy("host").orderBy("page_id")) - 1, 0.5).alias("start"))
+
+
+@query(f"WITH e AS (SELECT user_id % 10 AS run, {_STATUS} AS s FROM events) SELECT run, count(*) AS checked, count(*) FILTER (s < 400) AS ok, count(*) FILTER (s >= 400) AS failed FROM e GROUP BY run")
+def probe_report(spark, d):
+    e = table(spark, d, "events").select((F.col("user_id") % 10).alias("run"), F.expr(_STATUS).alias("s"))
+    return e.groupBy("run").agg(F.count("*").alias("checked"), F.count_if(F.col("s") < 400).alias("ok"), F.count_if(F.col("s") >= 400).alias("failed"))
+
+
+@query("SELECT page_id::VARCHAR AS path FROM pages WHERE sha256(html) <> sha256(CASE WHEN page_id % 9 = 4 THEN html || ' ' ELSE html END) OR page_id % 50 = 7")
+def manifest_check(spark, d):
+    p = table(spark, d, "pages").select(F.col("page_id").cast("string").alias("path"), F.sha2("html", 256).alias("sha256"), F.sha2(F.when(F.col("page_id") % 9 == 4, F.concat("html", F.lit(" "))).otherwise(F.col("html")), 256).alias("now"))
+    from crawlcat.operators import publish
+
+    return publish.manifest_faults(p.select("path", "sha256"), p.where("cast(path as bigint) % 50 <> 7").select("path", F.col("now").alias("sha256"))).select("path")
+
+
+@query("WITH l AS (SELECT conv_id, CASE WHEN turn % 3 = 0 THEN 'WARNING link failed: ' || substr(text, 1, 20) ELSE 'info' END AS line FROM conversations) SELECT conv_id, count(*) FILTER (starts_with(line, 'WARNING link failed: ')) AS failed FROM l GROUP BY conv_id")
+def probe_log(spark, d):
+    line = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("WARNING link failed: "), F.replace(F.substring("text", 1, 20), F.lit("\n"), F.lit(" ")))).otherwise("info")
+    from crawlcat.operators import publish
+
+    logs = table(spark, d, "conversations").select("conv_id", line.alias("line")).groupBy("conv_id").agg(F.array_join(F.collect_list("line"), "\n").alias("log"))
+    return publish.probe_failures(logs, "conv_id", "log", "WARNING link failed: ")
