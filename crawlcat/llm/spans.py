@@ -32,18 +32,24 @@ def hits(kinds: list[Kind], more: Callable[[Column, Column], dict[str, Column]]
     """Array of (k, pos, gap, len, value, and what ``more`` makes of the neighbouring gaps) over all kinds of a ``text`` column."""
     found = []
     for k, kind in enumerate(kinds):
-        text, pattern = F.col("text"), F.lit(kind.pattern)
+        number, text, pattern = k, F.col("text"), F.lit(kind.pattern)
         whole = F.regexp_extract_all(text, pattern, F.lit(0))
         value = F.regexp_extract_all(text, pattern, F.lit(kind.group)) if kind.group else whole
         gaps = F.split(text, kind.pattern, -1)
-
-        def hit(g: Column, i: Column, whole=whole, value=value, gaps=gaps, k=k) -> Column:
-            own = {"k": F.lit(k), "pos": i, "gap": F.length(g), "len": F.coalesce(F.length(F.get(whole, i)), F.lit(0)), "value": F.coalesce(F.get(value, i), F.lit(""))}
-            own |= more(g, F.get(gaps, i + 1)) if more else {}
+        # Zipped, so that each pattern runs over a text once and not once a match.
+        rows = F.zip_with(gaps, whole, lambda g, w: F.struct(g.alias("g"), w.alias("w"), w.alias("v")))
+        if kind.group:
+            rows = F.zip_with(rows, value, lambda s, v: F.struct(s["g"].alias("g"), s["w"].alias("w"), v.alias("v")))
+        if more:
+            rows = F.zip_with(rows, F.slice(gaps, F.lit(2), F.size(gaps)), lambda s, n: F.struct(s["g"].alias("g"), s["w"].alias("w"), s["v"].alias("v"), n.alias("n")))
+
+        def hit(s: Column, i: Column) -> Column:
+            own = {"k": F.lit(number), "pos": i, "gap": F.length(s["g"]), "len": F.coalesce(F.length(s["w"]), F.lit(0)), "value": F.coalesce(s["v"], F.lit(""))}
+            own |= more(s["g"], s["n"]) if more else {}
             return F.struct(*(c.alias(n) for n, c in own.items()))
 
-        none = F.filter(F.transform(F.array(F.lit("")), lambda g, i: hit(g, i)), lambda _: F.lit(False))
-        found.append(F.when(F.exists(value, kind.likely), F.transform(gaps, lambda g, i: hit(g, i))).otherwise(none))
+        every = F.transform(rows, hit)
+        found.append(F.when(F.exists(value, kind.likely), every).otherwise(F.filter(F.slice(every, F.lit(1), F.lit(0)), lambda _: F.lit(False))))
     return F.flatten(F.array(*found))
 
 
