@@ -47,14 +47,15 @@ def without_dots(p: Column) -> Column:
 
 def resolve(base: Column, href: Column) -> Column:
     """``href`` as an absolute URL against an absolute ``base``."""
-    parts = F.struct(href.alias("href"), *(part(base, n).alias(f"b{n}") for n in (1, 2, 4, 5, 6)), *(part(href, n).alias(f"h{n}") for n in (2, 3, 5, 6, 8)))
+    parts = F.struct(base.alias("base"), href.alias("href"), *(part(base, n).alias(f"b{n}") for n in (1, 2, 4, 5, 6)), *(part(href, n).alias(f"h{n}") for n in (2, 3, 5, 6, 8)))
 
     def joined(x: Column) -> Column:
         origin = F.concat(x["b2"], F.lit("://"), x["b4"])
         folder = F.regexp_replace(F.regexp_replace(x["b5"], "^$", "/"), r"[^/]*$", "")
         rooted = F.when(x["h5"].startswith("/"), x["h5"]).otherwise(F.concat(folder, x["h5"]))
         return (
-            F.when(x["h2"] != "", x["href"])
+            F.when(x["href"] == "", x["base"])
+            .when(x["h2"] != "", x["href"])
             .when(x["h3"] != "", F.concat(x["b1"], x["href"]))
             .when(x["h5"] != "", F.concat(origin, let(rooted, without_dots), x["h6"], x["h8"]))
             .when(x["h6"] != "", F.concat(origin, x["b5"], x["h6"], x["h8"]))
