@@ -1,0 +1 @@
+"""Place of streaming plans; the engine works batch by batch and has none."""
