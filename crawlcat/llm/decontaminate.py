@@ -30,13 +30,13 @@ WINDOW, STEP = 16, 8
 RANK, OVERSAMPLE, SEED = 64, 16, 7
 COSINE = 0.5
 #: Share of a passage's TF-IDF mass, other words included, that lies in the item's words: asked of a candidate before the exact checks.
-SHARED = 0.35
+SHARED = 0.4
 #: Share of an item's words in the common subsequence: enough alone, and enough beside its answer.
 COPIED, PARAPHRASED, ANSWERED = 0.75, 0.5, 0.8
 #: Characters of the benchmark in one pass over the corpus, about; a larger one is searched in parts.
 PART_CHARS = 400_000
 #: Bytes whose words are numbered at once, and words whose vectors are held at once, about.
-BLOCK_BYTES, BLOCK_WORDS = 4_000_000, 40_000
+BLOCK_BYTES, BLOCK_WORDS = 4_000_000, 10_000
 _CHUNK = 256
 
 _WORD = np.zeros(256, bool)
@@ -239,6 +239,7 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
         p = Passages.of(at)
         queries = unit(p.sums(np.concatenate(own.words), table))
         item = np.repeat(np.arange(len(own.words)), np.diff(p.first))
+        listed = [w.tolist() for w in own.words]
         masks, answers = [_masks(w) for w in own.words], [_masks(x) for x in own.answers]
         weight = np.append(idf, idf_other).astype(np.float32)  # the last, -1, for words that aren't terms
         holds = np.zeros((len(own.words), len(weight)), bool)
@@ -248,14 +249,18 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
         def of_group(number: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], tuple]:
             best: dict[tuple[int, int], tuple] = {}
             p = Passages.of(at)
-            v = unit(p.sums(number, table))
             doc_of = np.repeat(np.arange(len(at) - 1), np.diff(p.first))
-            starts = at[doc_of] + (np.arange(len(v)) - p.first[doc_of]) * STEP
+            starts = at[doc_of] + (np.arange(len(doc_of)) - p.first[doc_of]) * STEP
             inside = starts[:, None] + np.arange(WINDOW)
             real = inside < at[doc_of + 1][:, None]
             terms = number[np.where(real, inside, 0)]
             mass = np.where(real, weight[terms], 0)
             mass /= np.maximum(mass.sum(axis=1, keepdims=True), 1e-9)
+            # Passages whose terms of the whole benchmark fall short can't share enough with one item.
+            able = np.where(terms >= 0, mass, 0).sum(axis=1) >= SHARED
+            if not able.any():
+                return best
+            doc_of, starts, terms, mass, v = doc_of[able], starts[able], terms[able], mass[able], unit(p.sums(number, table)[able])
             for lo in range(0, len(v), 2_048):
                 cosine = v[lo : lo + 2_048] @ queries.T
                 hit, query = np.nonzero(cosine >= COSINE)
@@ -268,6 +273,9 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
                     size, d = len(own.words[i]), int(doc_of[w])
                     begin, end = max(at[d], starts[w] - size - STEP), min(at[d + 1], starts[w] + WINDOW + size + STEP)
                     region = number[begin:end].tolist()
+                    # At most the item's words that stand there at all can be in common, in whatever order.
+                    if sum(map(set(region).__contains__, listed[i])) < PARAPHRASED * size:
+                        continue
                     lcs = common(masks[i], size, region) / size
                     answered = len(own.answers[i]) > 0 and common(answers[i], len(own.answers[i]), region) >= ANSWERED * len(own.answers[i])
                     if lcs >= COPIED or lcs >= PARAPHRASED and answered:
