@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlcat.llm.common import written
-from crawlcat.llm.spans import Kind, hits, listing, placed, redacted, text_key
+from crawlcat.llm.spans import Kind, hits, listing, placed, redacted, searched, text_key
 
 WINDOW_CHARS = 160
 SUPPORT, SHARE, BITS, REMOVE_BITS = 3, 0.9, 4.0, 12.0
@@ -48,13 +48,12 @@ def _card(v: Column) -> Column:
 
 
 KINDS = [
-    Kind("email", EMAIL, 0, _some, _some),
-    Kind("ip", IP, 0, _some, lambda v: v.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$")),
-    Kind("card", CARD, 0, lambda v: F.length(v) >= 14, _card),
-    Kind("phone", PHONE, 0, _some, lambda v: F.length(_digits(v)).between(10, 15)),
+    Kind("email", EMAIL, 0, _some, _some, "@[A-Za-z0-9-]"),
+    Kind("ip", IP, 0, _some, lambda v: v.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"), r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"),
+    Kind("card", CARD, 0, lambda v: F.length(v) >= 14, _card, r"[0-9](?:[\x20-]?[0-9]){13}"),
+    Kind("phone", PHONE, 0, _some, lambda v: F.length(_digits(v)).between(10, 15), r"\+[0-9]"),
 ]
-TERM = Kind("term", WORD, 0, _some, _some)
-NAMES = [*(k.name for k in KINDS), TERM.name]
+NAMES = [*(k.name for k in KINDS), "term"]
 BASE = len(KINDS)
 
 
@@ -92,7 +91,7 @@ def scan(docs: DataFrame) -> DataFrame:
     An empty table gives no rows.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = written(rows.select("doc_id", text_key().alias("key"), F.xxhash64("text").alias("text_hash"), hits(KINDS, _around).alias("hits")), "matches")
+    found = written(searched(rows, KINDS).select("doc_id", text_key().alias("key"), F.xxhash64("text").alias("text_hash"), hits(KINDS, _around).alias("hits")), "matches")
     spans = written(placed(found, KINDS), "base_spans")
     # Terms that could reach SUPPORT: near the same entity in that many texts.
     near = spans.join(found.where(F.size("hits") > 0).select("key", "text_hash").distinct(), "key").select("text_hash", F.xxhash64("k", F.lower("value")).alias("entity"), F.explode("near").alias("term")).distinct()
@@ -101,9 +100,11 @@ def scan(docs: DataFrame) -> DataFrame:
     words = written(every.join(written(asked, "asked_terms"), "term"), "term_texts")
     flagged = written(disclosing(spans, found, words.select("text_hash", "term").distinct()), "disclosing")
 
-    holders = words.join(flagged, "term", "left_semi").select("key").distinct()
-    held = rows.withColumn("key", text_key()).join(holders, "key", "left_semi").select("key", hits([TERM]).alias("hits"))
-    terms = placed(held, [TERM]).withColumn("term", F.lower("value")).join(flagged.select("term", "action"), "term")
+    # The terms of a text are found by one pattern of its own, so only their places leave it.
+    own = words.join(flagged.select("term"), "term", "left_semi").groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("term")), "|").alias("terms"))
+    term = Kind("term", F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.col("terms"), F.lit(r")(?!\p{L})")), 0, _some, _some)
+    held = written(searched(rows.withColumn("key", text_key()).join(own, "key"), [term]).select("key", hits([term]).alias("hits")), "term_matches")
+    terms = placed(held, [term]).withColumn("term", F.lower("value")).join(flagged.select("term", "action"), "term")
     all_spans = spans.select("key", F.struct("start", "k", "end", "value", F.lit("mask").alias("action")).alias("s")).unionByName(terms.select("key", F.struct("start", F.lit(BASE).alias("k"), "end", "value", "action").alias("s")))
     base = F.filter("spans", lambda s: s["k"] < BASE)
     clear = F.filter("spans", lambda s: (s["k"] < BASE) | ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlcat.llm.common import written
-from crawlcat.llm.spans import Kind, hits, listing, placed, redacted, text_key
+from crawlcat.llm.spans import Kind, hits, listing, placed, redacted, searched, text_key
 
 #: A value of this many owners or more is an example.
 EXAMPLE_OWNERS = 3
@@ -33,10 +33,10 @@ OWNED = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 _some = lambda v: F.lit(True)
 _mixed = lambda v: v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]") & (F.size(F.array_distinct(F.split(v, ""))) >= 14)
 KINDS = [
-    Kind("assign", ASSIGN, 2, lambda v: F.length(v) >= 6, lambda v: F.length(v) >= 6),
-    Kind("access", ACCESS, 0, _some, _some),
-    Kind("hex", HEX, 0, _some, _some),
-    Kind("owned", OWNED, 0, _mixed, _mixed),
+    Kind("assign", ASSIGN, 2, lambda v: F.length(v) >= 6, lambda v: F.length(v) >= 6, "(?i:passw|secret|token|api_?key)"),
+    Kind("access", ACCESS, 0, _some, _some, "AKIA"),
+    Kind("hex", HEX, 0, _some, _some, "[0-9a-f]{24}"),
+    Kind("owned", OWNED, 0, _mixed, _mixed, "[A-Za-z0-9+/_=-]{20}"),
 ]
 NAMES = [k.name for k in KINDS]
 BASE = 3
@@ -51,7 +51,7 @@ def scan(docs: DataFrame, repo_col: str = "source", owner_col: str = "source") -
     for their owner.  An empty table gives no rows.
     """
     rows = docs.select("doc_id", F.col(repo_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = written(rows.select("doc_id", "repo", "owner", text_key().alias("key"), hits(KINDS).alias("hits")), "candidates")
+    found = written(searched(rows, KINDS).select("doc_id", "repo", "owner", text_key().alias("key"), hits(KINDS).alias("hits")), "candidates")
     spans = placed(found, KINDS).withColumn("h", F.xxhash64("value"))
     owners = found.where(F.size("hits") > 0).select("key", "repo", "owner").distinct()
     counts = (

@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 @dataclass(frozen=True)
 class Kind:
     name: str
-    pattern: str  #: never matches an empty string
+    pattern: str | Column  #: never matches an empty string
     group: int  #: whose text is ``value``
     likely: Callable[[Column], Column]  #: cheap test of a value; a text none of whose values pass it has no match to keep
     keep: Callable[[Column], Column]  #: the exact test of a value
+    needs: str = ""  #: cheap pattern found in every text with a match to keep; other texts aren't searched
 
 
 def text_key() -> Column:
@@ -28,14 +29,19 @@ def text_key() -> Column:
     return F.xxhash64(F.struct("doc_id"), F.coalesce(F.col("text"), F.lit("")))
 
 
+def searched(rows: DataFrame, kinds: list[Kind]) -> DataFrame:
+    """``rows`` with a column for each kind: the text, or nothing where its cheap test finds that there is nothing to search."""
+    return rows.withColumns({f"__text_{k}": F.when(F.col("text").rlike(kind.needs), F.col("text")).otherwise("") if kind.needs else F.col("text") for k, kind in enumerate(kinds)})
+
+
 def hits(kinds: list[Kind], more: Callable[[Column, Column], dict[str, Column]] | None = None) -> Column:
-    """Array of (k, pos, gap, len, value, and what ``more`` makes of the neighbouring gaps) over all kinds of a ``text`` column."""
+    """Array of (k, pos, gap, len, value, and what ``more`` makes of the neighbouring gaps) over all kinds, of rows from ``searched``."""
     found = []
     for k, kind in enumerate(kinds):
-        number, text, pattern = k, F.col("text"), F.lit(kind.pattern)
+        number, pattern, text = k, F.lit(kind.pattern) if isinstance(kind.pattern, str) else kind.pattern, F.col(f"__text_{k}")
         whole = F.regexp_extract_all(text, pattern, F.lit(0))
         value = F.regexp_extract_all(text, pattern, F.lit(kind.group)) if kind.group else whole
-        gaps = F.split(text, kind.pattern, -1)
+        gaps = F.split(text, pattern, -1)
         # Zipped, so that each pattern runs over a text once and not once a match.
         rows = F.zip_with(gaps, whole, lambda g, w: F.struct(g.alias("g"), w.alias("w"), w.alias("v")))
         if kind.group:
