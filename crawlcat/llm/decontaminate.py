@@ -30,7 +30,7 @@ WINDOW, STEP = 16, 8
 RANK, OVERSAMPLE, SEED = 64, 16, 7
 COSINE = 0.5
 #: Share of a passage's TF-IDF mass, other words included, that lies in the item's words: asked of a candidate before the exact checks.
-SHARED = 0.4
+SHARED = 0.35
 #: Share of an item's words in the common subsequence: enough alone, and enough beside its answer.
 COPIED, PARAPHRASED, ANSWERED = 0.75, 0.5, 0.8
 #: Characters of the benchmark in one pass over the corpus, about; a larger one is searched in parts.
