@@ -7,7 +7,7 @@ Every language has up to CENTROIDS centroids from spherical k-means; the
 language of the nearest one by cosine wins.  A text is rejected when its cosine
 lies below what texts of its size reach in training, with a wide margin.
 
-The model is fitted on at most SAMPLE_TEXTS different labelled texts, taken by
+The model is fitted on about SAMPLE_TEXTS different labelled texts, twice as many at most, taken by
 the hash of the text in equal shares a language; prediction sees the text only.
 """
 
