@@ -33,8 +33,12 @@ N, THRESHOLD, RECALL = 5, 0.8, 0.999
 SIZE, CHILDREN, SMALL, FIRST_DEPTH, DEPTH = 64, 1.6, 64, 2, 4
 #: Signatures this alike are linked loosely; four deviations below the threshold.
 LOOSE = 0.6
-#: Sets compared by signature in one block, pivots of a bucket in each of its blocks; sets and n-grams in a block of the exact step.
-BLOCK, PIVOTS, EXACT_SETS, EXACT_GRAMS = 1_024, 8, 2_048, 1_000_000
+#: Sets compared by signature in one block, and pivots of a bucket in each of its blocks.
+BLOCK, PIVOTS = 1_024, 8
+#: Sets and n-grams in a block of the exact step (a task holds two), and sets compared at once in it.
+EXACT_SETS, EXACT_GRAMS, AT_ONCE = 8_192, 3_000_000, 1_024
+#: Bits of the filter that tells which texts the exact step needs; where they fill up, more texts go on than it needs.
+FILTER_BITS = 1 << 23
 SLICE_BYTES, STEP_GRAMS, DENSE = 4_000_000, 16_384, 64
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -263,6 +267,33 @@ def exact(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> np.ndar
     return out
 
 
+def decide(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(root, links) of each set, AT_ONCE of them held against as many; where sides differ, only links between the two count."""
+    links, pairs = np.zeros(len(sets), np.int64), []
+    parts = [np.flatnonzero(side == v)[k : k + AT_ONCE] for v in np.unique(side) for k in range(0, int((side == v).sum()), AT_ONCE)]
+    alone = side.min() == side.max()
+    for i, a in enumerate(parts):
+        for b in parts[i:] if alone else [p for p in parts[i + 1 :] if side[p[0]] != side[a[0]]]:
+            both = a if b is a else np.concatenate([a, b])
+            halves = np.zeros(len(both), int)
+            halves[len(a) :] = 1
+            found = exact([sets[k] for k in both], halves, threshold)
+            links[both] += found.sum(axis=1)
+            root = both[_spanning(found)]
+            pairs += zip(root[root != both].tolist(), both[root != both].tolist())
+    return _roots(len(sets), pairs), links
+
+
+def _needed(asked: DataFrame) -> np.ndarray:
+    """A filter of FILTER_BITS bits over the text hashes that are asked for, put together by the executors."""
+    place = F.pmod("text_hash", F.lit(FILTER_BITS))
+    words = asked.select(place.alias("p")).select(F.expr("cast(p div 32 as int)").alias("word"), F.expr("shiftleft(1L, cast(p % 32 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    for r in words:  # FILTER_BITS / 32 rows at most
+        out[r["word"]] = r["bits"]
+    return out
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL) -> DataFrame:
     """(doc_id, class_id, n_links) of every row of ``docs`` (``doc_id``, ``text``; other columns are ignored).
 
@@ -282,27 +313,31 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: f
     inside = written(loose.join(sets.select(F.col("set_key").alias("v"), "first", "n_grams"), "v").select(F.col("v").alias("set_key"), "label", "first.*", "n_grams"), "loose_members")
     sizes = inside.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / EXACT_SETS), F.ceil(F.sum("n_grams") / EXACT_GRAMS)).cast("int").alias("blocks"))
     asked = inside.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("set_key"), "blocks").cast("int"))
-    texts = rows.withColumn("one", F.lit(1)).join(asked.select("doc_id", "text_hash", "set_key", "label", "block", "blocks").withColumnRenamed("doc_id", "d").withColumnRenamed("text_hash", "t"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
+    needed = rows.sparkSession.sparkContext.broadcast(_needed(asked))  # FILTER_BITS / 8 bytes
 
     def gram_rows(batches):
+        bits = needed.value
         for batch in batches:
-            for a, b in slices(batch.column(4), SLICE_BYTES):
+            place = batch.column(1).to_numpy() % FILTER_BITS
+            batch = batch.filter(pa.array((bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1))
+            for a, b in slices(batch.column(2), SLICE_BYTES):
                 part = batch.slice(a, b - a)
-                found, at = grams(part.column(4), n)
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array([found[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary())], ["label", "block", "blocks", "set_key", "grams"])
+                found, at = grams(part.column(2), n)
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array([found[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary())], ["d", "t", "grams"])
 
-    grammed = texts.select("label", "block", "blocks", "set_key", "text").mapInArrow(gram_rows, "label long, block int, blocks int, set_key long, grams binary").dropDuplicates(["set_key"])
+    own = rows.select("doc_id", "text_hash", "text").mapInArrow(gram_rows, "d long, t long, grams binary")
+    grammed = own.join(asked.select("doc_id", "text_hash", "set_key", "label", "block", "blocks"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
     facing = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = grammed.select("label", "block", "set_key", "grams", facing).select("label", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "set_key", "block", "grams")
 
     def decided(batches):
-        for (label, lo, hi), group in _grouped(batches, 3):
+        for (_, lo, hi), rows in _grouped(batches, 3):
+            group = [r for r, last in zip(rows, [None, *rows]) if last is None or r[0] != last[0]]  # repeated rows come once
             keys, side = np.array([r[0] for r in group]), np.array([r[1] for r in group])
             if lo != hi and side.min() == side.max():
-                continue
-            links = exact([np.frombuffer(r[2], np.uint64) for r in group], side, threshold)
-            root = _spanning(links)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(keys[root]), pa.array(links.sum(axis=1), pa.int64())], ["set_key", "root", "links"])
+                continue  # nothing in the other block
+            root, links = decide([np.frombuffer(r[2], np.uint64) for r in group], side, threshold)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(keys[root]), pa.array(links)], ["set_key", "root", "links"])
 
     decisions = written(paired.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi", "set_key").mapInArrow(decided, "set_key long, root long, links long"), "decisions")
     tied = components(decisions.select(F.col("set_key").alias("a"), F.col("root").alias("b")), "exact")

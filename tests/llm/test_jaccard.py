@@ -69,6 +69,7 @@ def near_copies(n, seed=3):
 
 def test_equal_to_all_pairs(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(jaccard, "EXACT_SETS", 50)
+    monkeypatch.setattr(jaccard, "AT_ONCE", 16)
     monkeypatch.setattr(jaccard, "BLOCK", 40)
     monkeypatch.setattr(jaccard, "SMALL", 8)
     monkeypatch.setattr(jaccard, "DENSE", 4)
