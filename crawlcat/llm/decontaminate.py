@@ -7,9 +7,13 @@ one distributed pass sums A'(A Omega) for a Gaussian Omega together with the
 passage frequencies, and the driver finishes with a Nystroem decomposition of
 a matrix as large as the benchmark's terms, not the corpus.
 
-A second pass projects each passage, takes as candidates the benchmark windows
-whose cosine reaches COSINE, and settles each candidate exactly, by the longest
-common subsequence of words around it and by the answer.
+A second pass leaves out, without loss, what lacks the words that the checks
+ask for (REACH words and their neighbours at a time), projects the remaining
+passages and settles them exactly, by the longest common subsequence of words
+and by the answer (beside words of some weight in the passage): in a wide
+region around a passage whose cosine with a benchmark window reaches COSINE,
+and whatever the cosine in a region of the item's own length, so a copy is
+found however short the item and however common or many the words around it.
 
 Both passes are narrow; only sums of (terms x sketch) are shuffled.
 """
@@ -29,10 +33,12 @@ from crawlcat.llm.wordids import _flat, slices
 WINDOW, STEP = 16, 8
 RANK, OVERSAMPLE, SEED = 64, 16, 7
 COSINE = 0.5
-#: Share of a passage's TF-IDF mass, other words included, that lies in the item's words: asked of a candidate before the exact checks.
-SHARED = 0.35
+#: Words of a text whose passages are left out together.
+REACH = 64
 #: Share of an item's words in the common subsequence: enough alone, and enough beside its answer.
 COPIED, PARAPHRASED, ANSWERED = 0.75, 0.5, 0.8
+#: Share of a full item window's own IDF mass whose words must be in the passage where the answer decides, and the greatest IDF in it, which keeps it from growing with the corpus.
+SHARED, IDF_MAX = 0.35, 8.0
 #: Characters of the benchmark in one pass over the corpus, about; a larger one is searched in parts.
 PART_CHARS = 400_000
 #: Bytes whose words are numbered at once, and words whose vectors are held at once, about.
@@ -160,8 +166,8 @@ def sketch(number: np.ndarray, at: np.ndarray, table: np.ndarray, total: np.ndar
     return len(p.joined)
 
 
-def directions(docs: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarray, float]:
-    """(terms x RANK) matrix that takes term counts to the latent space, IDF included; the IDF of the terms, and of any other word."""
+def directions(docs: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarray]:
+    """(terms x RANK) matrix that takes term counts to the latent space, IDF included, and the IDF."""
     spark = docs.sparkSession
     n, width = len(items.terms), RANK + OVERSAMPLE
     shared = spark.sparkContext.broadcast(items)
@@ -205,7 +211,7 @@ def directions(docs: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarray, f
     value, vector = np.linalg.eigh((core + core.T) / 2)
     good = value > value.max() * 1e-9
     u, _, _ = np.linalg.svd(y @ (vector[:, good] / np.sqrt(value[good])), full_matrices=False)
-    return (idf[:, None] * u[:, :RANK]).astype(np.float32), idf.astype(np.float32), float(np.log(blocks + 1))
+    return (idf[:, None] * u[:, :RANK]).astype(np.float32), idf
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -230,56 +236,101 @@ def _masks(own: np.ndarray) -> dict[int, int]:
     return out
 
 
+@dataclass(frozen=True)
+class Holders:
+    """Items that are searched for in so many neighbours of REACH words: by term, those that hold it (and, after them, whose answers do) and at how many places."""
+
+    items: np.ndarray
+    reach: int
+    at: np.ndarray
+    holder: np.ndarray
+    places: np.ndarray
+    sizes: np.ndarray  #: of the items, then of the answers
+
+    @staticmethod
+    def of(items: Items) -> list["Holders"]:
+        reach = np.array([-(-(len(w) + WINDOW + STEP) // REACH) for w in items.words])
+        out = []
+        for k in np.unique(reach):
+            mine = np.flatnonzero(reach == k)
+            both = [texts[i] for texts in (items.words, items.answers) for i in mine]
+            sizes = np.array([len(x) for x in both])
+            key, places = np.unique(np.concatenate(both).astype(np.int64) * len(both) + np.repeat(np.arange(len(both)), sizes), return_counts=True)
+            out.append(Holders(mine, int(k), np.searchsorted(key, np.arange(len(items.terms) + 1) * len(both)), key % len(both), places.astype(float), sizes))
+        return out
+
+
+def able(holders: list[Holders], number: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
+    """(text, first word, item) of the REACH words of a text whose passages may pass the checks: the words are there, in whatever order."""
+    sizes, terms = np.diff(at), len(holders[0].at) - 1
+    first = np.concatenate([[0], np.cumsum(-(-sizes // REACH))])
+    text = np.repeat(np.arange(len(sizes)), np.diff(first))
+    known = np.flatnonzero(number >= 0)
+    inside = known - np.repeat(at[:-1], sizes)[known]
+    row, term = np.repeat(first[:-1], sizes)[known] + inside // REACH, number[known]
+    out = []
+    for h in holders:
+        held = np.zeros((len(text), terms), bool)
+        held[row, term] = True
+        for by in (x for x in range(-h.reach, h.reach + 1) if x):
+            to = row + by
+            same = (to >= first[text[row]]) & (to < first[text[row] + 1])
+            held[to[same], term[same]] = True
+        chunk, near = np.divmod(np.flatnonzero(held), terms)
+        many = h.at[near + 1] - h.at[near]
+        ends = np.cumsum(many)
+        entry = np.arange(many.sum()) + np.repeat(h.at[near] - (ends - many), many)
+        n = len(h.items)
+        there = np.bincount(np.repeat(chunk * 2 * n, many) + h.holder[entry], h.places[entry], len(text) * 2 * n).reshape(-1, 2 * n)
+        own, answer = there[:, :n] / h.sizes[:n], there[:, n:]
+        c, i = np.nonzero((own >= COPIED) | (own >= PARAPHRASED) & (h.sizes[n:] > 0) & (answer >= ANSWERED * h.sizes[n:]))
+        out += zip(text[c].tolist(), (at[text[c]] + (c - first[text[c]]) * REACH).tolist(), h.items[i].tolist())
+    return out
+
+
 def _search(docs: DataFrame, items: Items) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((items, *directions(docs, items)))
 
     def found(batches):
-        own, table, idf, idf_other = shared.value
+        own, table, idf = shared.value
         at = np.concatenate([[0], np.cumsum([len(w) for w in own.words])])
         p = Passages.of(at)
-        queries = unit(p.sums(np.concatenate(own.words), table))
-        item = np.repeat(np.arange(len(own.words)), np.diff(p.first))
-        listed = [w.tolist() for w in own.words]
+        every = unit(p.sums(np.concatenate(own.words), table))
+        queries = [every[a:b] for a, b in zip(p.first[:-1], p.first[1:])]
         masks, answers = [_masks(w) for w in own.words], [_masks(x) for x in own.answers]
-        weight = np.append(idf, idf_other).astype(np.float32)  # the last, -1, for words that aren't terms
-        holds = np.zeros((len(own.words), len(weight)), bool)
-        for i, w in enumerate(own.words):
-            holds[i, w] = True
+        holders = Holders.of(own)
+        weight = np.minimum(idf, IDF_MAX)
+        windows = [[w[k : k + WINDOW] for k in {*range(0, len(w) - WINDOW, STEP), max(0, len(w) - WINDOW)}] for w in own.words]
+
+        def passed(i: int, near: list[int], around: list[int], passage: list[int]) -> tuple[float, bool] | None:
+            """Common share and answer of an item, if they are enough: the share in ``near``, the answer ``around`` it."""
+            size, asked = len(own.words[i]), len(own.answers[i])
+            lcs = common(masks[i], size, near) / size
+            if lcs < PARAPHRASED:
+                return None
+            answered = asked > 0 and common(answers[i], asked, around) >= ANSWERED * asked
+            # Usual words alone, answer included, are no sign of the item.
+            if lcs < COPIED and not (answered and any(weight[w][np.isin(w, passage)].sum() >= SHARED * weight[w].sum() for w in windows[i])):
+                return None
+            return lcs, answered
 
         def of_group(number: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], tuple]:
             best: dict[tuple[int, int], tuple] = {}
-            p = Passages.of(at)
-            doc_of = np.repeat(np.arange(len(at) - 1), np.diff(p.first))
-            starts = at[doc_of] + (np.arange(len(doc_of)) - p.first[doc_of]) * STEP
-            inside = starts[:, None] + np.arange(WINDOW)
-            real = inside < at[doc_of + 1][:, None]
-            terms = number[np.where(real, inside, 0)]
-            mass = np.where(real, weight[terms], 0)
-            mass /= np.maximum(mass.sum(axis=1, keepdims=True), 1e-9)
-            # Passages whose terms of the whole benchmark fall short can't share enough with one item.
-            able = np.where(terms >= 0, mass, 0).sum(axis=1) >= SHARED
-            if not able.any():
-                return best
-            doc_of, starts, terms, mass, v = doc_of[able], starts[able], terms[able], mass[able], unit(p.sums(number, table)[able])
-            for lo in range(0, len(v), 2_048):
-                cosine = v[lo : lo + 2_048] @ queries.T
-                hit, query = np.nonzero(cosine >= COSINE)
-                which = item[query]
-                kept = (mass[lo + hit] * holds[which[:, None], terms[lo + hit]]).sum(axis=1) >= SHARED
-                near: dict[tuple[int, int], float] = {}
-                for w, i, c in zip((lo + hit[kept]).tolist(), which[kept].tolist(), cosine[hit[kept], query[kept]].tolist()):
-                    near[w, i] = max(c, near.get((w, i), 0.0))
-                for (w, i), c in near.items():
-                    size, d = len(own.words[i]), int(doc_of[w])
-                    begin, end = max(at[d], starts[w] - size - STEP), min(at[d + 1], starts[w] + WINDOW + size + STEP)
-                    region = number[begin:end].tolist()
-                    # At most the item's words that stand there at all can be in common, in whatever order.
-                    if sum(map(set(region).__contains__, listed[i])) < PARAPHRASED * size:
-                        continue
-                    lcs = common(masks[i], size, region) / size
-                    answered = len(own.answers[i]) > 0 and common(answers[i], len(own.answers[i]), region) >= ANSWERED * len(own.answers[i])
-                    if lcs >= COPIED or lcs >= PARAPHRASED and answered:
-                        best[d, i] = max(best.get((d, i), (0.0,)), (lcs, min(1.0, c), answered, int(starts[w] - at[d])))
+            p = v = None
+            for d, begin, i in able(holders, number, at):
+                size, first, last = len(own.words[i]), int(at[d]), int(at[d + 1])
+                region = number[max(first, begin - size - STEP) : min(last, begin + REACH + WINDOW + size + STEP)].tolist()
+                if passed(i, region, region, region) is None:
+                    continue
+                if v is None:
+                    p = Passages.of(at)
+                    v = unit(p.sums(number, table))
+                for start in range(begin, min(begin + REACH, last), STEP):
+                    c = float((queries[i] @ v[p.first[d] + (start - first) // STEP]).max())
+                    around = number[max(first, start - size - STEP) : min(last, start + WINDOW + size + STEP)].tolist()
+                    got = passed(i, around if c >= COSINE else number[start : min(last, start + size + STEP)].tolist(), around, number[start : min(last, start + WINDOW)].tolist())
+                    if got:
+                        best[d, i] = max(best.get((d, i), (0.0,)), (got[0], min(1.0, max(0.0, c)), got[1], start - first))
             return best
 
         for batch in batches:

@@ -77,3 +77,15 @@ def test_empty_tables(spark):
     none, some = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")
     assert d.leaks(none, bench).count() == 0 and d.leaks(some, bench.where("false")).count() == 0 and d.leaks(some, bench).count() == 1
+
+
+def test_short_items_in_long_documents(spark):
+    r = random.Random(7)
+    usual = [f"u{k}" for k in range(60)]
+    items = [(n * 10 + k, " ".join([*r.choices(usual, k=n - 2), f"i{n}x{k}", f"i{n}y{k}"])) for n in range(5, 13) for k in range(3)]
+    rows = [(i, " ".join([*r.choices(usual, k=150 + i), t, *(f"o{r.randrange(5_000)}" for _ in range(200))])) for i, t in items]
+    rows += [(1000 + i, " ".join([*(f"o{r.randrange(5_000)}" for _ in range(97 + i)), t, *(f"o{r.randrange(5_000)}" for _ in range(200))])) for i, t in items]
+    rows += [(5000 + k, " ".join(f"o{r.randrange(5_000)}" for _ in range(2_000))) for k in range(200)]
+    got = {(x["doc_id"], x["item_id"]) for x in d.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(i + more, i) for i, _ in items for more in (0, 1000)} <= got
+    assert not [p for p in got if p[0] >= 5000]
