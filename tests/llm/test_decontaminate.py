@@ -89,3 +89,11 @@ def test_short_items_in_long_documents(spark):
     got = {(x["doc_id"], x["item_id"]) for x in d.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert {(i + more, i) for i, _ in items for more in (0, 1000)} <= got
     assert not [p for p in got if p[0] >= 5000]
+
+
+def test_answer_right_behind_thirteen_of_twenty_words(spark):
+    items = [(i, " ".join(f"q{i}w{k}" for k in range(20)), f"answer{i} is here") for i in range(8)]
+    half = " ".join(w for k, w in enumerate(items[3][1].split()) if k % 3)
+    docs = spark.createDataFrame([(1, items[0][1]), (2, half + " answer3 is here"), (3, half + " nothing")], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["answered"] for r in d.leaks(docs, spark.createDataFrame(items, "item_id long, text string, answer string")).collect()}
+    assert set(got) == {(1, 0), (2, 3)} and got[2, 3]
