@@ -15,6 +15,9 @@ region around a passage whose cosine with a benchmark window reaches COSINE,
 and whatever the cosine in a region of the item's own length, so a copy is
 found however short the item and however common or many the words around it.
 
+What is searched for is the whole item: an excerpt of a long item that stays
+under COPIED of its words, and without its answer, isn't reported.
+
 Both passes are narrow; only sums of (terms x sketch) are shuffled.
 """
 
