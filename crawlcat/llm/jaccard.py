@@ -7,7 +7,9 @@ sets recursively: each node of the tree samples a few places, from a hash of
 the path that leads to it, and hands the set on to the child of its token at
 each.  Buckets of SMALL sets or fewer are compared by brute force; larger ones
 are split further, DEPTH times at most.  Runs repeat until a pair at the
-threshold is met with probability RECALL.
+threshold is met with probability RECALL at the last depth.  What is still
+large there is dealt into blocks, which share pivots; then all sets outside the
+greatest component of the bucket so far are compared with all of the bucket.
 
 What meets is linked loosely by its signatures.  Inside the components of the
 loose links all pairs are then decided exactly, on the n-grams, in blocks of a
@@ -55,7 +57,7 @@ def met(depth: int, threshold: float = THRESHOLD) -> float:
     return q
 
 
-def runs(recall: float = RECALL, depth: int = FIRST_DEPTH) -> int:
+def runs(recall: float = RECALL, depth: int = DEPTH) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - met(depth)))
 
 
@@ -231,7 +233,45 @@ def _loose_edges(sets: DataFrame, n_runs: int) -> DataFrame:
             large = sizes.where(F.col("size") > SMALL).select("bucket")
             nodes = nodes.join(large, "bucket").join(sets.select("set_key", "sig"), "set_key").select("bucket", "set_key", "sig").mapInArrow(further, "bucket long, set_key long")
     dealt = ready.join(sets.select("set_key", "sig"), "set_key").select("bucket", "block", "set_key", "sig").repartition("bucket", "block").sortWithinPartitions("bucket", "block", "set_key")
-    return dealt.mapInArrow(linked, "a long, b long").distinct()
+    edges = written(dealt.mapInArrow(linked, "a long, b long").distinct(), "links")
+    hot = nodes.join(sizes.where(F.col("size") > BLOCK).select("bucket"), "bucket").select("bucket", "set_key")
+    return edges.union(_across(written(hot, "hot"), sets, edges)).distinct()
+
+
+def _across(hot: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
+    """(a, b) of component labels under ``edges``: the loose links between components inside each of the buckets of ``hot`` (bucket, set_key)."""
+    spark = hot.sparkSession
+    if not hot.limit(1).count():
+        return spark.createDataFrame([], "a long, b long")
+    labels = components(edges, "first_links").withColumnRenamed("v", "set_key")
+    named = written(hot.join(labels, "set_key", "left").select("bucket", "set_key", F.coalesce("label", "set_key").alias("label")), "hot_labels")
+    per = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    # Two components of a bucket aren't both the greatest one, so the rest against all covers every pair of components.
+    main = per.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("rest")).where("rest > 0")
+    dealt = named.join(main.select("bucket", "main", F.ceil(F.col("rest") / BLOCK).alias("los"), F.ceil(F.col("size") / BLOCK).alias("his")), "bucket").withColumn("h", F.xxhash64("set_key", "bucket"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    rest = dealt.where("label != main").select("bucket", F.pmod("h", "los").alias("lo"), every("his").alias("hi"), F.lit(True).alias("own"), "set_key", "label")
+    whole = dealt.select("bucket", every("los").alias("lo"), F.pmod("h", "his").alias("hi"), F.lit(False).alias("own"), "set_key", "label")
+    faced = rest.union(whole).join(sets.select("set_key", "sig"), "set_key").select("bucket", "lo", "hi", "own", "label", "sig")
+
+    def linked(batches):
+        for _, rows in _grouped(batches, 3):
+            own = np.array([r[0] for r in rows])
+            if own.all() or not own.any():
+                continue
+            label, sig = np.array([r[1] for r in rows]), _matrix([r[2] for r in rows])
+            alike = np.zeros((int(own.sum()), int((~own).sum())), np.uint8)
+            for k in range(SIZE):
+                alike += sig[own, k][:, None] == sig[~own, k][None, :]
+            a, b = np.nonzero(alike >= LOOSE * SIZE)
+            names, number = np.unique(label, return_inverse=True)
+            pairs = np.unique(number[own][a] * len(names) + number[~own][b])
+            root = names[_roots(len(names), zip(*(x.tolist() for x in np.divmod(pairs, len(names)))))]
+            other = root != names
+            if other.any():
+                yield pa.RecordBatch.from_arrays([pa.array(root[other]), pa.array(names[other])], ["a", "b"])
+
+    return faced.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi").mapInArrow(linked, "a long, b long")
 
 
 def exact(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> np.ndarray:

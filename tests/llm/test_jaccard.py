@@ -86,6 +86,26 @@ def test_equal_to_all_pairs(spark, sf_dir, monkeypatch):
     assert sorted(r[0] for r in kept) == sorted({c for c, _ in want.values()})
 
 
+def test_pairs_of_one_boilerplate_meet_in_buckets_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 100)
+    r, n = np.random.default_rng(8), 400
+    rows = []
+    for k in range(n):
+        place = r.permutation(jaccard.SIZE - 37) + 37  # 37 places are those of all rows, 2 the pair's own: enough for a loose link
+        one = np.concatenate([np.arange(37), r.integers(1_000, 1 << 32, jaccard.SIZE - 37)]).astype("<u4")
+        other = one.copy()
+        other[place[2:]] = r.integers(1_000, 1 << 32, len(place) - 2)
+        rows += [(2 * k, bytearray(one.tobytes())), (2 * k + 1, bytearray(other.tobytes()))]
+    sets = spark.createDataFrame(rows, "set_key long, sig binary")
+    label = {x["v"]: x["label"] for x in components(jaccard._loose_edges(sets, jaccard.runs())).collect()}
+    missed = sum(label.get(2 * k, -1) != label.get(2 * k + 1, -2) for k in range(n))
+    assert missed == 0
+
+
+def test_runs_reach_the_recall_at_the_last_depth():
+    assert (1 - jaccard.met(jaccard.DEPTH)) ** jaccard.runs() <= 1 - jaccard.RECALL
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.classes(docs).count() == 0 and jaccard.keep_one(docs).count() == 0
