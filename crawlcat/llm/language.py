@@ -5,7 +5,8 @@ UTF-8, all else than letters as one space), hashed to DIMS places, damped by a
 square root, weighted by inverse document frequency and scaled to length one.
 Every language has up to CENTROIDS centroids from spherical k-means; the
 language of the nearest one by cosine wins.  A text is rejected when its cosine
-lies below what texts of its size reach in training, with a wide margin.
+lies below what texts of its size reach in training (each held against
+centroids without itself), with a wide margin.
 
 The model is fitted on about SAMPLE_TEXTS different labelled texts, twice as many at most, taken by
 the hash of the text in equal shares a language; prediction sees the text only.
@@ -26,6 +27,8 @@ DIMS = 4_096
 SAMPLE_TEXTS, CENTROIDS, ROUNDS = 6_000, 4, 12
 #: Share of the lowest training cosine (by size of text) below which a text is rejected.
 MARGIN = 0.5
+#: Training texts of a size or smaller that a threshold rests on; sizes with fewer reject nothing but what has no letters.
+ENOUGH = 30
 UNDETERMINED = "und"
 #: Texts and bytes of one block of vectors.
 BLOCK_TEXTS, BLOCK_BYTES = 1_024, 6_000_000
@@ -103,6 +106,18 @@ def _cluster(v: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def _others(v: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Greatest cosine of each row with the centres of its language, its own share left out of its own centre."""
+    cosine = v @ centres.T
+    nearest = cosine.argmax(axis=1)
+    sums = np.stack([v[nearest == i].sum(axis=0) for i in range(len(centres))])
+    without = sums[nearest] - v
+    alone = np.bincount(nearest, minlength=len(centres))[nearest] == 1
+    own = np.einsum("ij,ij->i", without, v) / np.maximum(np.linalg.norm(without, axis=1), 1e-9)
+    cosine[np.arange(len(v)), nearest] = np.where(alone, 0, own)
+    return cosine.max(axis=1)
+
+
 def fit(labelled: DataFrame) -> Model:
     """Model from ``labelled`` (``text``, ``lang``); rows with a null in either, or without letters, don't count.
 
@@ -135,10 +150,12 @@ def fit(labelled: DataFrame) -> Model:
     v = bare.vectors(c)
     groups = [_cluster(v[label == i], CENTROIDS) for i in range(len(languages))]
     centres, owner = np.concatenate(groups), np.concatenate([[i] * len(g) for i, g in enumerate(groups)])
-    own = np.where(owner[None, :] == label[:, None], v @ centres.T, -1).max(axis=1)
+    own = np.zeros(len(v))
+    for i, g in enumerate(groups):
+        own[label == i] = _others(v[label == i], g)
     sizes_of = size_class(c.sum(axis=1))
     # A text is never asked for more than any training text of its size or smaller has reached.
-    least = np.array([own[sizes_of <= k].min() if (sizes_of <= k).any() else 0.0 for k in range(16)])
+    least = np.array([own[sizes_of <= k].min() if (sizes_of <= k).sum() >= ENOUGH else 0.0 for k in range(16)])
     return Model(languages, idf, centres.astype(np.float32), owner, MARGIN * np.clip(least, 0, 1))
 
 

@@ -49,6 +49,15 @@ def test_odd_texts_and_models(spark, sf_dir):
     assert language.identify(docs.where("false").select("doc_id", "text"), model).count() == 0
 
 
+def test_clean_one_word_texts_stay(spark, sf_dir):
+    train = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang")
+    few = spark.createDataFrame([("Zwölf.", "de"), ("Why.", "en"), ("Muy.", "es"), ("Où.", "fr")], "text string, lang string")
+    model = language.fit(train.unionByName(few))
+    asked = ["This.", "Re.", "Edrere.", "Éaux.", "In. The.", "Der.", "Los.", "Le."]
+    got = language.identify(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()
+    assert [asked[r["doc_id"]] for r in got if r["rejected"]] == []
+
+
 def test_pipeline_stages(spark, sf_dir):
     from tests.llm.test_jaccard import brute
     from tests.llm.test_spans import secret_base
