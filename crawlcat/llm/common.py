@@ -13,9 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``; that setting is made here only where it is unset."""
+    """A new folder name under ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder stands in for it in local mode,
+    whose executors are this process; on a cluster it is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="crawlcat-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/crawlcat-{uuid.uuid4().hex}"
@@ -26,3 +32,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name`` with underscores before it until no column is called so, whatever the case."""
+    taken = {c.lower() for c in columns}
+    while (name := f"_{name}").lower() in taken:
+        pass
+    return name

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from crawlcat.llm.wordids import _flat, slices
 
@@ -47,6 +47,8 @@ PART_CHARS = 400_000
 #: Bytes whose words are numbered at once, and words whose vectors are held at once, about.
 BLOCK_BYTES, BLOCK_WORDS = 4_000_000, 10_000
 _CHUNK = 256
+#: Runs of REACH words whose terms are looked at together, so that a very long text takes no more memory than several short ones.
+ABLE_ROWS = 256
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
@@ -273,28 +275,33 @@ def able(holders: list[Holders], number: np.ndarray, at: np.ndarray) -> list[tup
     row, term = np.repeat(first[:-1], sizes)[known] + inside // REACH, number[known]
     out = []
     for h in holders:
-        held = np.zeros((len(text), terms), bool)
-        held[row, term] = True
-        for by in (x for x in range(-h.reach, h.reach + 1) if x):
-            to = row + by
-            same = (to >= first[text[row]]) & (to < first[text[row] + 1])
-            held[to[same], term[same]] = True
-        chunk, near = np.divmod(np.flatnonzero(held), terms)
-        many = h.at[near + 1] - h.at[near]
-        ends = np.cumsum(many)
-        entry = np.arange(many.sum()) + np.repeat(h.at[near] - (ends - many), many)
-        n = len(h.items)
-        there = np.bincount(np.repeat(chunk * 2 * n, many) + h.holder[entry], h.places[entry], len(text) * 2 * n).reshape(-1, 2 * n)
-        own, answer = there[:, :n] / h.sizes[:n], there[:, n:]
-        c, i = np.nonzero((own >= COPIED) | (own >= PARAPHRASED) & (h.sizes[n:] > 0) & (answer >= ANSWERED * h.sizes[n:]))
-        out += zip(text[c].tolist(), (at[text[c]] + (c - first[text[c]]) * REACH).tolist(), h.items[i].tolist())
+        for lo in range(0, len(text), ABLE_ROWS):
+            hi = min(len(text), lo + ABLE_ROWS)
+            begin, end = max(0, lo - h.reach), min(len(text), hi + h.reach)
+            a, b = np.searchsorted(row, [begin, end])
+            held = np.zeros((hi - lo, terms), bool)
+            for by in range(-h.reach, h.reach + 1):
+                to = row[a:b] + by
+                same = (to >= lo) & (to < hi) & (to >= first[text[row[a:b]]]) & (to < first[text[row[a:b]] + 1])
+                held[to[same] - lo, term[a:b][same]] = True
+            chunk, near = np.divmod(np.flatnonzero(held), terms)
+            many = h.at[near + 1] - h.at[near]
+            ends = np.cumsum(many)
+            entry = np.arange(many.sum()) + np.repeat(h.at[near] - (ends - many), many)
+            n = len(h.items)
+            there = np.bincount(np.repeat(chunk * 2 * n, many) + h.holder[entry], h.places[entry], (hi - lo) * 2 * n).reshape(-1, 2 * n)
+            own, answer = there[:, :n] / h.sizes[:n], there[:, n:]
+            c, i = np.nonzero((own >= COPIED) | (own >= PARAPHRASED) & (h.sizes[n:] > 0) & (answer >= ANSWERED * h.sizes[n:]))
+            c += lo
+            out += zip(text[c].tolist(), (at[text[c]] + (c - first[text[c]]) * REACH).tolist(), h.items[i].tolist())
     return out
 
 
-def _search(docs: DataFrame, items: Items) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((items, *directions(docs, items)))
+def _searcher(docs: DataFrame, items: Items):
+    """A function that makes, in a worker, the search of a string column: (row, item number, share, cosine, answered, word) of every hit."""
+    shared = docs.sparkSession.sparkContext.broadcast((items, *directions(docs.select(_text().alias("text")), items)))
 
-    def found(batches):
+    def prepared():
         own, table, idf = shared.value
         at = np.concatenate([[0], np.cumsum([len(w) for w in own.words])])
         p = Passages.of(at)
@@ -336,18 +343,34 @@ def _search(docs: DataFrame, items: Items) -> DataFrame:
                         best[d, i] = max(best.get((d, i), (0.0,)), (got[0], min(1.0, max(0.0, c)), got[1], start - first))
             return best
 
-        for batch in batches:
+        def search(texts: pa.Array) -> list[tuple]:
             out = []
-            for a, b in slices(batch.column(1), BLOCK_BYTES):
-                number, at = own.numbered(batch.column(1).slice(a, b - a))
-                ids = batch.column(0).slice(a, b - a).to_pylist()
+            for a, b in slices(texts, BLOCK_BYTES):
+                number, at = own.numbered(texts.slice(a, b - a))
                 for c, e in groups(at):
                     best = of_group(number[at[c] : at[e]], at[c : e + 1] - at[c])
-                    out += [(ids[c + d], own.ids[i], *rest) for (d, i), rest in best.items()]
-            columns = zip(*out) if out else [()] * len(HITS)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.int64()))], HITS.names)
+                    out += [(a + c + d, i, *rest) for (d, i), rest in best.items()]
+            return out
+
+        return search
+
+    return prepared
 
-    return docs.mapInArrow(found, HITS)
+
+def _text() -> Column:
+    return F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+
+def _parts(benchmark: DataFrame):
+    """The items of ``benchmark`` in parts of about PART_CHARS characters."""
+    answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
+    asked = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer")).distinct()
+    chars = asked.agg(F.sum(F.length("text"))).head()[0] or 0
+    parts = max(1, -(-chars // PART_CHARS))
+    for part in range(parts):
+        items = items_of(asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text", "answer").collect())
+        if items.ids:
+            yield items
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -359,22 +382,39 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     held by nothing; repeated documents are answered each, repeated items once.
     Either table empty: no rows.  ``word`` is where the best passage begins.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
-    asked = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer")).distinct()
-    chars = asked.agg(F.sum(F.length("text"))).head()[0] or 0
-    parts = max(1, -(-chars // PART_CHARS))
-    out = None
-    for part in range(parts):
-        own = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text", "answer").collect()
-        items = items_of(own)
-        if items.ids:
-            found = _search(rows, items)
-            out = found if out is None else out.unionByName(found)
+    rows, out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text")), None
+    for items in _parts(benchmark):
+        prepared, names = _searcher(docs, items), items.ids
+
+        def found(batches, prepared=prepared, names=names):
+            search = prepared()
+            for batch in batches:
+                hits = search(batch.column(1))
+                ids = batch.column(0).take(pa.array([h[0] for h in hits], pa.int64()))
+                columns = [*zip(*hits)][2:] if hits else [()] * 4
+                yield pa.RecordBatch.from_arrays([ids, pa.array([names[h[1]] for h in hits], pa.int64()), *(pa.array(c, t) for c, t in zip(columns, (pa.float64(), pa.float64(), pa.bool_(), pa.int64())))], HITS.names)
+
+        own = rows.mapInArrow(found, HITS)
+        out = own if out is None else out.unionByName(own)
     return out if out is not None else docs.sparkSession.createDataFrame([], HITS)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; a null ``doc_id`` stays only with a clean text of its own."""
-    held = leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(held, docs["doc_id"].eqNullSafe(held["doc_id"]), "left_anti")
+    """The rows of ``docs`` whose own text holds no benchmark item, with all their columns, whatever these are called.
+
+    Every row is judged by itself: repeated and null ids don't matter.  Null
+    and empty texts stay.  ``text`` has to be a string column.
+    """
+    at, schema, out = docs.columns.index("text"), docs.schema, docs
+    for items in _parts(benchmark):
+        prepared = _searcher(docs, items)
+
+        def kept(batches, prepared=prepared):
+            search = prepared()
+            for batch in batches:
+                dirty = np.zeros(batch.num_rows, bool)
+                dirty[[h[0] for h in search(batch.column(at).fill_null(""))]] = True
+                yield batch.filter(pa.array(~dirty))
+
+        out = out.mapInArrow(kept, schema)
+    return out

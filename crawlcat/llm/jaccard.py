@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from crawlcat.llm.common import written
+from crawlcat.llm.common import unused, written
 from crawlcat.llm.components import components
 from crawlcat.llm.decontaminate import words
 from crawlcat.llm.wordids import slices
@@ -334,16 +334,8 @@ def _needed(asked: DataFrame) -> np.ndarray:
     return out
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL) -> DataFrame:
-    """(doc_id, class_id, n_links) of every row of ``docs`` (``doc_id``, ``text``; other columns are ignored).
-
-    ``class_id`` is the least ``doc_id`` among the documents joined by links,
-    ``n_links`` the number of other different sets of n-grams at ``threshold``
-    or more.  Equal sets are copies and have the same links.  Null and empty
-    texts, and those without words, have the empty set, alike to itself only.
-    Repeated rows are answered each; a null ``doc_id`` is answered, and names a
-    class only if nothing else is in it.  An empty table gives no rows.
-    """
+def _decided(docs: DataFrame, threshold: float, n: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, set_key) of ``docs`` and (set_key, label, first, n_links) of every set; ``first`` is its least (unnamed, doc_id, text_hash)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     members = written(_sets(rows, n), "members")
     sets = written(members.groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"), F.min("n_grams").alias("n_grams"), F.first("sig").alias("sig")), "sets")
@@ -382,13 +374,44 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: f
     decisions = written(paired.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi", "set_key").mapInArrow(decided, "set_key long, root long, links long"), "decisions")
     tied = components(decisions.select(F.col("set_key").alias("a"), F.col("root").alias("b")), "exact")
     counted = decisions.groupBy("set_key").agg(F.sum("links").alias("n_links"))
-    of_set = sets.select("set_key", "first.doc_id").join(tied.withColumnRenamed("v", "set_key"), "set_key", "left").join(counted, "set_key", "left").select("set_key", F.coalesce("label", "set_key").alias("label"), "doc_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    named = of_set.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    answer = of_set.drop("doc_id").join(named, "label").drop("label")
-    return members.select("doc_id", "set_key").join(answer, "set_key").select("doc_id", "class_id", "n_links")
+    return members, sets.select("set_key", "first").join(tied.withColumnRenamed("v", "set_key"), "set_key", "left").join(counted, "set_key", "left").select("set_key", F.coalesce("label", "set_key").alias("label"), "first", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL) -> DataFrame:
+    """(doc_id, class_id, n_links) of every row of ``docs`` (``doc_id``, ``text``; other columns are ignored).
+
+    ``class_id`` is the least ``doc_id`` among the documents joined by links,
+    ``n_links`` the number of other different sets of n-grams at ``threshold``
+    or more.  Equal sets are copies and have the same links.  Null and empty
+    texts, and those without words, have the empty set, alike to itself only.
+    Repeated rows are answered each; a null ``doc_id`` is answered, and names a
+    class only if nothing else is in it.  An empty table gives no rows.
+    """
+    members, of_set = _decided(docs, threshold, n, recall)
+    named = of_set.groupBy("label").agg(F.min("first.doc_id").alias("class_id"))
+    return members.select("doc_id", "set_key").join(of_set.join(named, "label").select("set_key", "class_id", "n_links"), "set_key").select("doc_id", "class_id", "n_links")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class, the one whose id names it; of rows that repeat that id, one."""
-    named = classes(docs).select(F.col("doc_id").alias("__id"), "class_id").where(F.col("__id").eqNullSafe(F.col("class_id"))).select("__id").distinct()
-    return docs.join(named, docs["doc_id"].eqNullSafe(named["__id"]), "left_semi").dropDuplicates(["doc_id"])
+    """``docs`` with exactly one row of each class, its columns as they are.
+
+    A row is told by its id and its text.  The one of the least id stays, of
+    several texts with that id the one of the least hash, of rows that repeat
+    both any one; a null id comes after all others, so it stays only where its
+    whole class has none.  Documents without words are one class.
+    """
+    members, of_set = _decided(docs, THRESHOLD, N, RECALL)
+    first = of_set.groupBy("label").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+    times = members.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).select(F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), "n")
+    chosen = written(first.join(times, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))).select("doc_id", "text_hash", (F.col("n") > 1).alias("repeated")), "chosen")
+
+    text_hash = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
+
+    def rows_of(those: DataFrame) -> DataFrame:
+        return docs.join(those, docs["doc_id"].cast("long").eqNullSafe(those["doc_id"]) & (text_hash == those["text_hash"]), "left_semi")
+
+    if not chosen.where("repeated").limit(1).count():
+        return rows_of(chosen)
+    mark = unused("hash", docs.columns)
+    again = rows_of(chosen.where("repeated")).withColumn(mark, text_hash).dropDuplicates(["doc_id", mark]).drop(mark)
+    return rows_of(chosen.where("not repeated")).unionByName(again)

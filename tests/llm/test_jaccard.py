@@ -86,6 +86,16 @@ def test_equal_to_all_pairs(spark, sf_dir, monkeypatch):
     assert sorted(r[0] for r in kept) == sorted({c for c, _ in want.values()})
 
 
+def test_keep_one_tells_rows_by_id_and_text(spark):
+    texts = [" ".join(f"t{k}w{i}" for i in range(30)) for k in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[4]), (6, texts[4]), (None, texts[5]), (9, texts[5] + " more"), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as label", "2 as text_hash", "3 as _hash", "'x' as first", "true as repeated", "map('a', 1) as set_key")
+    got = jaccard.keep_one(docs)
+    assert got.schema == docs.schema
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=key) == sorted([rows[0], rows[1], rows[2], rows[3], rows[4], rows[7]], key=key)
+
+
 def test_pairs_of_one_boilerplate_meet_in_buckets_of_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 100)
     r, n = np.random.default_rng(8), 400
