@@ -5,11 +5,16 @@ it over the corpus; a term discloses an entity when nearly all the different
 texts that hold the term hold the entity beside it (``SHARE``), in ``SUPPORT``
 different texts or more, and the pointwise mutual information of the two is
 ``BITS`` or more.  Such terms become spans of kind ``term`` wherever they
-stand: up to ``REMOVE_BITS`` they are generalised, above they are removed.
-
-DataFrame functions only.  Joint counts come from the narrow table of matches;
-the frequency of terms over the whole corpus needs one pass over the words of
-each text, joined with the few terms in question before anything is shuffled.
+stand.  A term is generalised to a broader one: a word that stands beside the
+entity in most of the texts of the term (``BROADER``), is in at least twice as
+many texts of the corpus and discloses nothing itself; the rarest such word is
+taken.  A term without one is removed.
+
+DataFrame functions only.  Joint counts come from the narrow table of matches.
+The number of different texts of a term is a sum over the words of every text,
+each divided by how often its text is repeated, so nothing but sums by word is
+shuffled; what the matches ask for is joined to the sums.  Only words over the
+thresholds are then looked for in the texts.
 """
 
 from __future__ import annotations
@@ -17,10 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlcat.llm.common import written
-from crawlcat.llm.spans import Kind, hits, listing, placed, redacted, searched, text_key
+from crawlcat.llm.spans import Kind, hits, listing, placed, replaced, searched, text_key
 
 WINDOW_CHARS = 160
-SUPPORT, SHARE, BITS, REMOVE_BITS = 3, 0.9, 4.0, 12.0
+SUPPORT, SHARE, BITS = 3, 0.9, 4.0
+#: Share of the texts of a term and its entity that a broader term is in, and how many times as many texts have it.
+BROADER, WIDER = 0.8, 2
 
 # Fixed values of the base patterns; a run is tried once, from its start.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -65,51 +72,71 @@ def _around(gap: Column, following: Column) -> dict[str, Column]:
     return {"near": F.array_distinct(F.concat(words(before, r"(?<=\P{L})\p{L}{4,}+"), words(after, r"(?<!\p{L})\p{L}{4,}+(?=\P{L})")))}
 
 
-def disclosing(spans: DataFrame, found: DataFrame, words: DataFrame) -> DataFrame:
-    """(term, bits, share, action) of the terms over the thresholds; a term counts for the entity it points to most.
+def _words(text: Column) -> Column:
+    return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))))
+
+
+def entities(spans: DataFrame, found: DataFrame) -> DataFrame:
+    """(text_hash, entity, near) of every base span; the same text comes once."""
+    texts = found.where(F.size("hits") > 0).select("key", "text_hash").distinct()
+    return spans.join(texts, "key").select("text_hash", F.md5(F.concat_ws(":", F.col("k").cast("string"), F.lower("value"))).alias("entity"), "near")
+
+
+def term_counts(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(term, n_t): the number of different texts of ``rows`` that hold each word."""
+    times = found.groupBy("text_hash").agg(F.count("*").alias("times")).where("times > 1")
+    weighed = rows.withColumn("text_hash", F.xxhash64("text")).join(times, "text_hash", "left").select((1 / F.coalesce("times", F.lit(1))).alias("weight"), "text")
+    return weighed.select("weight", _words(F.col("text")).alias("term")).groupBy("term").agg(F.round(F.sum("weight")).cast("long").alias("n_t"))
+
 
-    ``spans``: base spans with ``near``; ``found``: key and ``text_hash`` of
-    every row; ``words``: (text_hash, term) of the terms near any entity.
+def disclosing(near: DataFrame, of_term: DataFrame, n_texts: DataFrame) -> DataFrame:
+    """(term, bits, share, broader) of the terms over the thresholds; ``broader`` is null for a term to remove.
+
+    ``near``: rows of ``entities``; ``of_term``: rows of ``term_counts``;
+    ``n_texts``: one row, ``n`` different texts.  A term counts for the entity
+    that it points to most, the least of several.
     """
-    texts = found.agg(F.count_distinct("text_hash").alias("n"))
-    entity = spans.join(found.select("key", "text_hash").distinct(), "key").select("text_hash", F.xxhash64("k", F.lower("value")).alias("entity"), "near")
-    of_entity = entity.select("text_hash", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    joint = entity.select("text_hash", "entity", F.explode("near").alias("term")).distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    of_term = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    scored = joint.join(of_entity, "entity").join(of_term, "term").crossJoin(texts)  # one row
-    bits = F.log2(F.col("n_te") * F.col("n") / (F.col("n_t") * F.col("n_e")))
+    of_entity = near.groupBy("entity").agg(F.count_distinct("text_hash").alias("n_e"))
+    joint = near.select("text_hash", "entity", F.explode("near").alias("term")).distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
+    scored = written(joint.join(of_entity, "entity").join(of_term, "term").crossJoin(n_texts), "scored_terms")  # one row on the right
     share = F.col("n_te") / F.col("n_t")
-    over = scored.select("term", bits.alias("bits"), share.alias("share")).where((F.col("share") >= SHARE) & (F.col("bits") >= BITS))
-    return over.groupBy("term").agg(F.max("bits").alias("bits"), F.max("share").alias("share")).withColumn("action", F.when(F.col("bits") > REMOVE_BITS, "remove").otherwise("generalise"))
+    bits = F.log2(F.col("n_te") * F.col("n") / (F.col("n_t") * F.col("n_e")))
+    over = scored.select("term", "entity", "n_t", "n_te", bits.alias("bits"), share.alias("share")).where((F.col("share") >= SHARE) & (F.col("bits") >= BITS))
+    best = written(over.groupBy("term").agg(F.max(F.struct("bits", "share", "entity", "n_t", "n_te")).alias("b")).select("term", "b.*"), "disclosing_terms")
+    # Words beside a term and its entity, counted by different texts.
+    beside = near.select("text_hash", "entity", "near", F.explode("near").alias("term")).join(best.select("term", "entity"), ["term", "entity"]).select("term", "text_hash", F.explode("near").alias("word")).where("word <> term").distinct()
+    with_word = beside.groupBy("term", "word").agg(F.count("*").alias("n_tw"))
+    clear = with_word.join(best.select(F.col("term").alias("word")), "word", "left_anti").join(of_term.select(F.col("term").alias("word"), F.col("n_t").alias("n_w")), "word")
+    chosen = clear.join(best.select("term", "n_t", "n_te"), "term").where((F.col("n_tw") >= BROADER * F.col("n_te")) & (F.col("n_w") >= WIDER * F.col("n_t"))).groupBy("term").agg(F.min(F.struct("n_w", "word"))["word"].alias("broader"))
+    return best.select("term", "bits", "share").join(chosen, "term", "left")
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` as (doc_id, key, spans); spans are (start, k, end, value, action).
+    """Rows of ``docs`` as (doc_id, key, spans); spans are (start, k, end, value, action, broader).
 
-    A null text counts as empty.  Repeated rows get the same spans each;
-    thresholds count different texts, so copies don't make a term disclosing.
-    An empty table gives no rows.
+    ``action`` is ``mask`` for base spans, ``generalise`` or ``remove`` for
+    terms.  A null text counts as empty.  Repeated rows get the same spans
+    each; thresholds count different texts, so copies don't make a term
+    disclosing.  An empty table gives no rows.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = written(searched(rows, KINDS).select("doc_id", text_key().alias("key"), F.xxhash64("text").alias("text_hash"), hits(KINDS, _around).alias("hits")), "matches")
     spans = written(placed(found, KINDS), "base_spans")
-    # Terms that could reach SUPPORT: near the same entity in that many texts.
-    near = spans.join(found.where(F.size("hits") > 0).select("key", "text_hash").distinct(), "key").select("text_hash", F.xxhash64("k", F.lower("value")).alias("entity"), F.explode("near").alias("term")).distinct()
-    asked = near.groupBy("entity", "term").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT).select("term").distinct()
-    every = rows.select(text_key().alias("key"), F.xxhash64("text").alias("text_hash"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    words = written(every.join(written(asked, "asked_terms"), "term"), "term_texts")
-    flagged = written(disclosing(spans, found, words.select("text_hash", "term").distinct()), "disclosing")
+    near = written(entities(spans, found), "entities")
+    of_term = written(term_counts(rows, found), "term_counts")
+    flagged = written(disclosing(near, of_term, found.agg(F.count_distinct("text_hash").alias("n"))), "disclosing")
 
     # The terms of a text are found by one pattern of its own, so only their places leave it.
-    own = words.join(flagged.select("term"), "term", "left_semi").groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("term")), "|").alias("terms"))
+    held = rows.select(text_key().alias("key"), _words(F.col("text")).alias("term")).join(flagged.select("term"), "term", "left_semi")
+    own = held.groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("term")), "|").alias("terms"))
     term = Kind("term", F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.col("terms"), F.lit(r")(?!\p{L})")), 0, _some, _some)
     held = written(searched(rows.withColumn("key", text_key()).join(own, "key"), [term]).select("key", hits([term]).alias("hits")), "term_matches")
-    terms = placed(held, [term]).withColumn("term", F.lower("value")).join(flagged.select("term", "action"), "term")
-    all_spans = spans.select("key", F.struct("start", "k", "end", "value", F.lit("mask").alias("action")).alias("s")).unionByName(terms.select("key", F.struct("start", F.lit(BASE).alias("k"), "end", "value", "action").alias("s")))
+    terms = placed(held, [term]).withColumn("term", F.lower("value")).join(flagged.select("term", "broader"), "term").withColumn("action", F.when(F.col("broader").isNull(), "remove").otherwise("generalise"))
+    all_spans = spans.select("key", F.struct("start", "k", "end", "value", F.lit("mask").alias("action"), F.lit(None).cast("string").alias("broader")).alias("s")).unionByName(terms.select("key", F.struct("start", F.lit(BASE).alias("k"), "end", "value", "action", "broader").alias("s")))
     base = F.filter("spans", lambda s: s["k"] < BASE)
     clear = F.filter("spans", lambda s: (s["k"] < BASE) | ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     by_key = all_spans.groupBy("key").agg(F.collect_list("s").alias("spans")).select("key", clear.alias("spans"))
-    none = F.array().cast("array<struct<start:bigint,k:int,end:bigint,value:string,action:string>>")
+    none = F.array().cast("array<struct<start:bigint,k:int,end:bigint,value:string,action:string,broader:string>>")
     return found.select("doc_id", "key").join(by_key, "key", "left").withColumn("spans", F.coalesce("spans", none))
 
 
@@ -125,9 +152,11 @@ def report(scanned: DataFrame) -> DataFrame:
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
-    """``docs`` with entities masked as ``[kind]``, terms generalised to ``[term]`` or removed; the columns stay, null texts too."""
-    scanned = scan(docs).select(F.col("key").alias("__key"), F.col("spans").alias("__spans")).where(F.size("__spans") > 0).dropDuplicates(["__key"])
+    """``docs`` with entities masked as ``[kind]``, terms generalised to ``[broader term]`` or removed.
+
+    All columns stay, whatever they are called; a null text stays null,
+    repeated rows are answered alike, an empty table gives no rows.
+    """
     kinds = F.array(*(F.lit(f"[{n}]") for n in NAMES))
-    marker = lambda s: F.when(s["action"] == "remove", "").otherwise(F.get(kinds, s["k"]))
-    keyed = docs.withColumn("__key", text_key()).join(scanned, "__key", "left")
-    return keyed.withColumn("text", F.when(F.col("text").isNotNull(), redacted(F.col("text"), F.col("__spans"), marker))).select(*docs.columns)
+    marker = lambda s: F.when(s["action"] == "remove", "").when(s["action"] == "generalise", F.concat(F.lit("["), s["broader"], F.lit("]"))).otherwise(F.get(kinds, s["k"]))
+    return replaced(docs, scan(docs), marker)

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from crawlcat.llm.common import unused
+
 
 @dataclass(frozen=True)
 class Kind:
@@ -25,8 +27,9 @@ class Kind:
 
 
 def text_key() -> Column:
-    """Key of a row by content; equal rows share it, and equal results."""
-    return F.xxhash64(F.struct("doc_id"), F.coalesce(F.col("text"), F.lit("")))
+    """Key of a row by content, of 128 bits; equal rows share it, and equal results."""
+    said = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.struct(F.xxhash64(F.struct("doc_id"), said).alias("a"), F.xxhash64(F.lit("b"), said, F.struct("doc_id")).alias("b"))
 
 
 def searched(rows: DataFrame, kinds: list[Kind]) -> DataFrame:
@@ -89,3 +92,11 @@ def redacted(text: Column, spans: Column, marker: Callable[[Column], Column]) ->
     )
     finish = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
     return F.when(F.coalesce(F.size(spans), F.lit(0)) > 0, F.aggregate(F.array_sort(spans), start, step, finish)).otherwise(text)
+
+
+def replaced(docs: DataFrame, scanned: DataFrame, marker: Callable[[Column], Column]) -> DataFrame:
+    """``docs`` with the spans of ``scanned`` (key, spans) replaced in ``text``; all columns stay, whatever they are called."""
+    key, spans = unused("key", docs.columns), unused("spans", docs.columns)
+    some = scanned.select(F.col("key").alias(key), F.col("spans").alias(spans)).where(F.size(spans) > 0).dropDuplicates([key])
+    keyed = docs.withColumn(key, text_key()).join(some, key, "left")
+    return keyed.withColumn("text", F.when(F.col("text").isNotNull(), redacted(F.col("text"), F.col(spans), marker))).select(*docs.columns)
