@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,10 +30,18 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/crawlcat-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder; survives the loss of any executor."""
+#: Rows of a narrow table in one file, at least, where their number is known.
+FILE_ROWS = 50_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder; survives the loss of any executor.
+
+    ``rows`` is a bound on its rows where one is known: a small table then
+    comes in few files, however many partitions it is made in.
+    """
     path = f"{shared_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -40,3 +51,19 @@ def unused(name: str, columns: list[str]) -> str:
     while (name := f"_{name}").lower() in taken:
         pass
     return name
+
+
+def released(stage):
+    """An Arrow stage that gives its memory back at its end: Spark keeps the Python worker for stages to come."""
+
+    @functools.wraps(stage)
+    def run(batches):
+        try:
+            yield from stage(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return run

@@ -39,8 +39,11 @@ def test_odd_texts_and_models(spark, sf_dir):
     model = language.fit(train.unionByName(spark.createDataFrame([(1, None, "en"), (2, "abc", None), (3, "", "zz")], "doc_id long, text string, lang string")))
     assert model.languages == ("de", "en", "es", "fr")
     rows = [(1, None), (2, ""), (3, "12 34 !?"), (4, "漢字かな交じり文です。" * 30), (5, "the"), (None, "der und die " * 3000), (7, "qzxj kvqz xxzq wqvk " * 50)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as lang_pred", "1 as score")
-    got = {r["doc_id"]: r for r in language.identify(docs.drop("lang_pred", "score"), model).collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as lang_pred", "1 as score", "'y' as rejected", "2 as __text", "map('a', 1) as lang")
+    got = {r["doc_id"]: r for r in language.identify(docs, model, *docs.columns).collect()}
+    assert set(got[1].asDict()) == {"doc_id", "text", "__text", "lang", "lang_pred", "score", "rejected"}
+    kept = language.recognised(docs, model)
+    assert kept.schema == docs.schema and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if not r["rejected"]}
     assert [got[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3 and all(got[i]["rejected"] and got[i]["score"] == 0 for i in (1, 2, 3))
     assert got[4]["rejected"] and got[4]["lang_pred"] in model.languages and got[None]["lang_pred"] == "de" and not got[None]["rejected"]
     none = language.fit(train.where("false"))
@@ -49,6 +52,53 @@ def test_odd_texts_and_models(spark, sf_dir):
     assert language.identify(docs.where("false").select("doc_id", "text"), model).count() == 0
 
 
+def plain_model(rows):
+    """Frequencies, centroids and thresholds of (text, lang) rows by loops."""
+    model = {}
+    texts = [(t, k) for t, k in rows if t and any(c.isalpha() for c in t)]
+    c = np.stack([language.counts(pa.array([t]))[0] for t, _ in texts]).astype(np.float64)
+    idf = np.log((1 + len(c)) / (1 + (c > 0).sum(axis=0))) + 1
+    v = np.sqrt(c) * idf
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    for lang in sorted({k for _, k in texts}):
+        own = v[[k == lang for _, k in texts]]
+        chosen = [int((own @ own.mean(axis=0)).argmax())]
+        while len(chosen) < min(language.CENTROIDS, len(own)):
+            chosen.append(int(np.max([own @ own[i] for i in chosen], axis=0).argmin()))
+        centres = own[chosen]
+        for _ in range(language.ROUNDS):
+            near = [int(np.argmax([x @ y for y in centres])) for x in own]
+            sums = [sum((x for x, k in zip(own, near) if k == i), np.zeros(language.DIMS)) for i in range(len(centres))]
+            centres = np.stack([s / np.linalg.norm(s) if np.linalg.norm(s) else y for s, y in zip(sums, centres)])
+        model[lang] = centres
+    return idf, model
+
+
+def test_prediction_equals_a_plain_one(spark, sf_dir):
+    rows = [(r["text"], r["lang"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    seen = list(dict.fromkeys(rows))[:120]
+    model = language.fit(spark.createDataFrame(seen + seen[:30], "text string, lang string"))
+    idf, centres = plain_model(seen)
+    asked = spark.createDataFrame(list(enumerate(t for t, _ in rows)), "doc_id long, text string")
+    near = 0
+    for r in language.identify(asked, model).collect():
+        c = np.sqrt(language.counts(pa.array([rows[r["doc_id"]][0]]))[0].astype(np.float64)) * idf
+        best = {k: float((own @ c).max() / max(np.linalg.norm(c), 1e-9)) for k, own in centres.items()}
+        if r["lang_pred"] != "und":
+            assert abs(r["score"] - max(best.values())) < 1e-3 and best[r["lang_pred"]] > max(best.values()) - 1e-3
+            near += 1
+    assert near > 150
+
+
+def test_more_languages_than_sample(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_TEXTS", 20)
+    rows = [(f"{chr(97 + k % 26)}{chr(97 + k // 26)} " * 8 + f"n{chr(97 + i)}", f"l{k:02d}") for k in range(60) for i in range(5)]
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.languages) == 60 and len(model.centroids) == 60
+    got = language.identify(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string"), model).collect()
+    assert np.mean([r["lang_pred"] == rows[r["doc_id"]][1] for r in got]) == 1
+
+
 def test_clean_one_word_texts_stay(spark, sf_dir):
     train = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang")
     few = spark.createDataFrame([("Zwölf.", "de"), ("Why.", "en"), ("Muy.", "es"), ("Où.", "fr")], "text string, lang string")
