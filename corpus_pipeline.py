@@ -16,8 +16,7 @@ from crawlcat.llm.common import table, written
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language model doesn't reject; ``lang`` stays as it was given."""
     model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
-    names = [c for c in docs.columns if c not in ("doc_id",)]
-    return language.identify(docs, model, *names).where("not rejected").select(*docs.columns)
+    return language.recognised(docs, model)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
