@@ -1,11 +1,13 @@
 """Token ids in compressed files with a shared zstandard dictionary.
 
-Format, version 1: a folder of shards, each shard a range of ``doc_id``, held
+Format, version 2: a folder of shards, each shard a range of ``doc_id``, held
 as rows of a Parquet table (so that any store Spark writes to will do, and its
 committer takes care of lost executors).  A row is a block of neighbouring
 documents:
 
 ``shard``, ``block``      place in ascending ``doc_id`` order
+``before``                ids of the shard before this block
+``first_id``, ``last_id``   least and greatest ``doc_id``, nulls left out
 ``dict_hash``             SHA-256 of the dictionary the frames were made with
 ``doc_ids``               one per document
 ``n_tokens``              ids of each document, the end id among them
@@ -29,7 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from crawlcat.llm.common import shared_dir
+from crawlcat.llm.common import released, shared_dir
 from crawlcat.llm.wordids import END_ID, encoder, slices, vocabulary_path
 
 #: The dictionary is trained on this many documents of at most SAMPLE_CHARS characters, lowest hash first.
@@ -45,6 +47,9 @@ _BLOCKS = T.StructType(
     [
         T.StructField("shard", T.IntegerType()),
         T.StructField("block", T.IntegerType()),
+        T.StructField("before", T.LongType()),
+        T.StructField("first_id", T.LongType()),
+        T.StructField("last_id", T.LongType()),
         T.StructField("dict_hash", T.StringType()),
         T.StructField("width", T.IntegerType()),
         T.StructField("tokens", T.LongType()),
@@ -54,6 +59,7 @@ _BLOCKS = T.StructType(
         T.StructField("payload", T.BinaryType()),
     ]
 )
+_ARROW = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 _ROWS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -130,29 +136,30 @@ def write(docs: DataFrame, path: str | None = None, vocabulary: str | None = Non
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), part.column(0), pa.array(np.diff(at) + 1, pa.int64()), pa.array(made, pa.binary())], ["shard", "doc_id", "n_tokens", "frame"])
 
     def blocks(batches):
-        shard, block, held, size = None, 0, [], 0
+        shard, block, before, held, size = None, 0, 0, [], 0
 
         def made():
-            offsets = np.concatenate([[0], np.cumsum([len(f) for _, _, f in held])])[:-1].tolist()
-            return pa.RecordBatch.from_pylist(
-                [{"shard": shard, "block": block, "dict_hash": dict_hash, "width": width, "tokens": sum(n for _, n, _ in held), "doc_ids": [i for i, _, _ in held], "n_tokens": [n for _, n, _ in held], "offsets": offsets, "payload": b"".join(f for _, _, f in held)}],
-                pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("dict_hash", pa.string()), ("width", pa.int32()), ("tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("payload", pa.binary())]),
-            )
+            ids, sizes, made_of = zip(*held)
+            named = [i for i in ids if i is not None]
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in made_of])])[:-1].tolist()
+            row = (shard, block, before, min(named, default=None), max(named, default=None), dict_hash, width, sum(sizes), ids, sizes, offsets, b"".join(made_of))
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, _ARROW)], _BLOCKS.names)
 
         for batch in batches:
             for s, i, n, f in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and (s != shard or size >= BLOCK_BYTES):
                     yield made()
-                    block, held, size = block + 1 if s == shard else 0, [], 0
+                    block, before = (block + 1, before + sum(n for _, n, _ in held)) if s == shard else (0, 0)
+                    held, size = [], 0
                 shard = s
                 held.append((i, n, f))
                 size += len(f)
         if held:
             yield made()
 
-    framed = rows.mapInArrow(frames, _FRAMES)
+    framed = rows.mapInArrow(released(frames), _FRAMES)
     dealt = framed.repartition("shard").sortWithinPartitions("shard", "doc_id", "frame")
-    dealt.mapInArrow(blocks, _BLOCKS).write.mode("overwrite").parquet(f"{path}/shards")
+    dealt.mapInArrow(released(blocks), _BLOCKS).write.mode("overwrite").parquet(f"{path}/shards")
     return TokenFiles(spark, path, dict_hash)
 
 
@@ -160,11 +167,9 @@ def read(files: TokenFiles, with_ids: bool = False) -> DataFrame:
     """Every document of the files with its place among all ids, from the files alone."""
     data, expected = files.dictionary(), files.dict_hash
     blocks = files.spark.read.schema(_BLOCKS).parquet(f"{files.path}/shards")
-    # Sums by shard first, so the one ordered window sees MAX_SHARDS rows at most.
+    # MAX_SHARDS rows at most, so the one ordered window and the broadcast are small; the payload stays where it is read.
     totals = blocks.groupBy("shard").agg(F.sum("tokens").alias("own"))
-    before = totals.select("shard", (F.sum("own").over(Window.orderBy("shard")) - F.col("own")).alias("shard_start"))
-    inside = Window.partitionBy("shard").orderBy("block")
-    places = blocks.select("shard", "block", (F.sum("tokens").over(inside) - F.col("tokens")).alias("block_start")).join(before, "shard").select("shard", "block", (F.col("shard_start") + F.col("block_start")).alias("start"))
+    starts = F.broadcast(totals.select("shard", (F.sum("own").over(Window.orderBy("shard")) - F.col("own")).alias("shard_start")))
 
     def rows(batches):
         unpacker = zstandard.ZstdDecompressor(zstandard.ZstdCompressionDict(data) if data else None)
@@ -182,17 +187,15 @@ def read(files: TokenFiles, with_ids: bool = False) -> DataFrame:
                     start += n
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
-    return blocks.join(places, ["shard", "block"]).mapInArrow(rows, _ROWS)
+    return blocks.join(starts, "shard").withColumn("start", F.col("shard_start") + F.col("before")).mapInArrow(released(rows), _ROWS)
 
 
 def fetch(files: TokenFiles, doc_id: int) -> list[list[int]]:
-    """Ids of the documents with this id, each from its own frame."""
+    """Ids of the documents with this id, each from its own frame; only blocks whose range of ids holds it are read."""
     data = files.dictionary()
     unpacker = zstandard.ZstdDecompressor(zstandard.ZstdCompressionDict(data) if data else None)
-    found = files.spark.read.schema(_BLOCKS).parquet(f"{files.path}/shards").where(F.array_contains("doc_ids", F.lit(doc_id).cast("long")))
+    found = files.spark.read.schema(_BLOCKS).parquet(f"{files.path}/shards").where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
     place = F.posexplode("doc_ids").alias("k", "id")
     one = found.select("width", "payload", "offsets", place).where(F.col("id") == doc_id)
-    end = F.coalesce(F.get("offsets", F.col("k") + 1), F.length("payload").cast("long"))
-    at = F.get("offsets", F.col("k"))
     cut = one.select("width", F.expr("substring(payload, cast(get(offsets, k) + 1 as int), cast(coalesce(get(offsets, k + 1), length(payload)) - get(offsets, k) as int))").alias("frame"))
     return [np.frombuffer(unpacker.decompress(bytes(r["frame"])), f"<u{r['width']}").tolist() for r in cut.collect()]

@@ -110,3 +110,25 @@ def test_op1_and_op8_agree(spark, sf_dir):
     packed = queries.QUERIES["op1_power_of_two_packing"](spark, sf_dir).groupBy("doc_id").sum("length").collect()
     filed = queries.QUERIES["op8_token_files"](spark, sf_dir).collect()
     assert {r[0]: r[1] for r in packed} == {r["doc_id"]: r["n_tokens"] for r in filed}
+
+
+def test_batches_hold_equal_lengths(docs, spark, sf_dir):
+    whole = docs.select("doc_id", "text").unionByName(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    batches = {}
+    for r in packing.pack(whole, with_ids=False, batch_tokens=4_096).collect():
+        batches.setdefault(r["batch_id"], []).append(r["length"])
+    assert all(len(set(b)) == 1 and sum(b) <= 4_096 for b in batches.values())
+    unfilled = [b for b in batches.values() if sum(b) < 4_096]
+    assert len(unfilled) <= 12 * whole.rdd.getNumPartitions() and len(batches) > len(unfilled)
+
+
+def test_blocks_know_their_range_and_place(docs, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_BYTES", 60)
+    files = token_files.write(docs)
+    rows = files.spark.read.parquet(f"{files.path}/shards").orderBy("shard", "block").collect()
+    assert len(rows) > 3
+    for r, last in zip(rows, [None, *rows]):
+        ids = [i for i in r["doc_ids"] if i is not None]
+        assert (r["first_id"], r["last_id"]) == (min(ids, default=None), max(ids, default=None))
+        assert r["before"] == (last["before"] + last["tokens"] if last and last["shard"] == r["shard"] else 0)
+    assert len(token_files.fetch(files, 2)) == 3 and token_files.fetch(files, 999) == []
