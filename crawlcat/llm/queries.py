@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlcat.llm import decontaminate, edit_counts, jaccard, language, media, packing, pii, quotes, secrets, token_files
-from crawlcat.llm.common import table
+from crawlcat.llm.common import table, written
 
 
 def op1_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +23,8 @@ def op3_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return edit_counts.count(docs.withColumn("edits", edit_counts.sample_edits(F.col("text"), F.col("doc_id"))))
+    trees = written(edit_counts.build(table(spark, sf_dir, "documents")), "trees")
+    return edit_counts.update(trees.withColumn("edits", edit_counts.sample_edits(F.col("text"), F.col("doc_id")))).select(*edit_counts.COUNTS)
 
 
 def op5_media_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from crawlcat.llm import edit_counts, media
+from crawlcat.llm.common import written
 from crawlcat.llm.wordids import vocabulary_path
 
 TEXTS = ["", None, "a" * 64, "b" * 63, "é😀" * 50, "The quick brown fox. " * 3000, "x" * 5000, " \n ", "tail \n", "word, " * 400]
@@ -83,6 +84,50 @@ def test_edits_equal_a_full_count(spark, docs, monkeypatch):
         assert tuple(g)[1:5] == want[g["doc_id"]], g
 
 
+def test_stored_trees_take_further_edits_and_untouched_leaves_are_never_encoded(spark, monkeypatch):
+    tok = Tokenizer.from_file(vocabulary_path())
+    n = lambda t: len(tok.encode(t, add_special_tokens=False).ids)
+    r = random.Random(5)
+    texts = [" ".join(r.choices(["word", "and", "é.", "longer,"], k=k)) for k in (0, 3, 900, 4_000)]
+    trees = written(edit_counts.build(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "trees")
+    kind = "array<struct<start:long,end:long,text:string>>"
+    for turn in range(3):
+        asked = {i: [(a := r.randint(0, len(t)), a + r.choice([0, 3, 40]), r.choice(["", " new words", "x"]))] for i, t in enumerate(texts) if i != turn}
+        edits = spark.createDataFrame(list(asked.items()), f"doc_id long, edits {kind}")
+        got = {x["doc_id"]: x for x in edit_counts.update(trees.join(edits, "doc_id", "left")).collect()}
+        for i, es in asked.items():
+            for a, b, t in es:
+                texts[i] = texts[i][:a] + t + texts[i][b:]
+        for i, x in got.items():
+            assert (x["text"], x["n_tokens_edited"], sum(x["leaf_tokens"]), sum(x["leaf_chars"])) == (texts[i], n(texts[i]), n(texts[i]), len(texts[i]))
+            assert x["reencoded_chars"] <= 3 * edit_counts.LEAF and (i in asked or not x["reencoded_chars"])
+        trees = written(spark.createDataFrame([tuple(x[k] for k in edit_counts.TREES.names) for x in got.values()], edit_counts.TREES), "trees")
+
+    class Seen:
+        def __init__(self):
+            self.chars = 0
+
+        def encode(self, column):
+            self.chars += sum(map(len, column.to_pylist()))
+            return None, np.zeros(len(column) + 1, int)
+
+    seen = Seen()
+    leaves = edit_counts.cut("some words here " * 8_000)
+    tree = edit_counts.Tree("".join(leaves), [len(x) for x in leaves], [1] * len(leaves))
+    first, last, new = tree.splice(60_000, 60_004, "new")
+    tree.settle(first, last, new, edit_counts._sizes(seen, new))
+    assert seen.chars <= 3 * edit_counts.LEAF and len(tree.levels) > 2 and all((x.sum(axis=0) == tree.levels[0].sum(axis=0)).all() for x in tree.levels)
+
+
+def test_many_inserts_at_one_place_split_their_leaf():
+    tree, chars = edit_counts.Tree("start end", [9], [2]), 0
+    for k in range(2_000):
+        first, last, leaves = tree.splice(6, 6, f"word{k} ")
+        chars += sum(map(len, leaves))
+        tree.settle(first, last, leaves, [len(x.split()) for x in leaves])
+    assert tree.tokens == 2_002 and chars < 2_000 * 3 * edit_counts.LEAF and len(tree.text) == tree.levels[-1][0, 0]
+
+
 def test_edits_reencode_little_and_nulls(spark):
     text = "some words here " * 4000
     data = spark.createDataFrame([(1, text, [(30_000, 30_004, "new")]), (2, None, None), (3, "a b", [None, (None, None, None)])], "doc_id long, text string, edits array<struct<start:long,end:long,text:string>>")
