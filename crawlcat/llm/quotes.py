@@ -1,10 +1,13 @@
 """Chat formatting by quotation linking.
 
 Quoted lines (``>``, nested by repetition) are parsed into passages of one
-level; passages and the unquoted parts of every message are hashed after
-normalisation.  A passage is joined to the latest earlier message of its
-conversation that holds it, and its message becomes a reply to that one;
-a message without a passage that is found continues the one before it.
+level; passages and the unquoted parts of every message (all of it, its
+paragraphs, lines and sentences) are hashed after normalisation, which forgets
+where lines were wrapped.  A part of a passage is joined to the latest earlier
+message of its conversation that holds it.  The outermost level that is found
+decides, in it the longest part, then the latest message: the quoting message
+becomes a reply to that one.  A message without a passage that is found
+continues the one before it.
 
 Messages that continue each other form a run; a found quotation starts a run
 that hangs on the message quoted.  Conversations are read run by run, a message
@@ -16,13 +19,13 @@ conversation with very many runs needs more rounds, not a larger task.
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from crawlcat.llm.common import written
+from crawlcat.llm.common import released, written
 
 _QUOTE = re.compile(r"^\s{0,3}((?:>\s?)+)(.*)$")
 #: Turns that one ordered task sees at once; runs of turns are carried over by their maxima.
@@ -35,7 +38,7 @@ PARSED = T.StructType(
         T.StructField("role", T.StringType()),
         T.StructField("body", T.StringType()),
         T.StructField("own", T.ArrayType(T.LongType())),
-        T.StructField("quoted", T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("hash", T.LongType())]))),
+        T.StructField("quoted", T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("hash", T.LongType())]))),
         T.StructField("n_passages", T.IntegerType()),
         T.StructField("max_level", T.IntegerType()),
     ]
@@ -61,18 +64,22 @@ def parse(text: str) -> tuple[str, list[tuple[int, str]]]:
     return text, [(d, "\n".join(lines)) for d, lines in passages]
 
 
-def hashed(text: str) -> int | None:
-    """Hash of the words of a text, whatever their case, spacing and punctuation; none without words."""
-    words = " ".join(re.findall(r"\w+", text.lower()))
+def hashed(text: str) -> tuple[int, int] | None:
+    """(hash, number) of the words of a text, whatever their case, spacing and punctuation; none without words.
+
+    Hashes are compared inside a conversation only; 64 bits of BLAKE2 are ample.
+    """
+    words = re.findall(r"\w+", text.lower())
     if not words:
         return None
-    data = words.encode("utf-8", "surrogatepass")
-    return (zlib.crc32(data) << 31) ^ zlib.adler32(data) ^ (len(data) << 8)
+    data = " ".join(words).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "big", signed=True), len(words)
 
 
-def parts(text: str) -> set[int]:
-    """Hashes of the whole text, its paragraphs and its lines."""
-    pieces = [text, *re.split(r"\n\s*\n", text), *text.split("\n")]
+def parts(text: str) -> set[tuple[int, int]]:
+    """Hashes and sizes of the whole text, its paragraphs, lines and sentences."""
+    paragraphs = re.split(r"\n\s*\n", text)
+    pieces = {text, *paragraphs, *text.split("\n"), *(s for p in paragraphs for s in re.split(r"(?<=[.!?…])\s+", p))}
     return {h for p in pieces if (h := hashed(p)) is not None}
 
 
@@ -84,28 +91,29 @@ def parsed(messages: DataFrame) -> DataFrame:
             out = []
             for conv, turn, role, text in zip(*(c.to_pylist() for c in batch.columns)):
                 body, passages = parse(text)
-                quoted = [{"level": d, "hash": h} for d, p in passages for h in sorted(parts(p))]
-                out.append((conv, turn, role, body, sorted(parts(body)), quoted, len(passages), max((d for d, _ in passages), default=0)))
+                quoted = [{"level": d, "size": n, "hash": h} for d, p in passages for h, n in sorted(parts(p))]
+                out.append((conv, turn, role, body, sorted(h for h, _ in parts(body)), quoted, len(passages), max((d for d, _ in passages), default=0)))
             for lo in range(0, len(out), 1_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[lo : lo + 1_000]), _ARROW)], PARSED.names)
 
     plain = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return plain.mapInArrow(rows, PARSED)
+    return plain.mapInArrow(released(rows), PARSED)
 
 
-_ARROW = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64())])), pa.int32(), pa.int32())
+_ARROW = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.struct([("level", pa.int32()), ("size", pa.int32()), ("hash", pa.int64())])), pa.int32(), pa.int32())
 
 
 def parents(found: DataFrame) -> DataFrame:
-    """(conv_id, turn, parent): what each quoting message replies to; the outermost level that is found decides, then the latest message."""
-    quotes = found.where((F.size("quoted") > 0) & F.col("turn").isNotNull()).select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.level", "q.hash").distinct()
+    """(conv_id, turn, parent): what each quoting message replies to; the outermost level that is found decides, then the longest part, then the latest message."""
+    quotes = found.where((F.size("quoted") > 0) & F.col("turn").isNotNull()).select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*").distinct()
     # Only hashes that are quoted at all go on, and a message counts once for each.
     asked = quotes.select("conv_id", "hash").distinct()
     own = found.where(F.col("turn").isNotNull()).select("conv_id", "turn", F.explode("own").alias("hash")).alias("o").join(asked.alias("a"), F.expr("o.conv_id <=> a.conv_id and o.hash = a.hash"), "left_semi").distinct()
-    marked = own.select("conv_id", "hash", "turn", F.lit(None).cast("int").alias("level"), F.col("turn").alias("source")).unionByName(quotes.select("conv_id", "hash", "turn", "level", F.lit(None).cast("long").alias("source")))
+    rank = F.struct((-F.col("level")).alias("l"), "size")
+    marked = own.select("conv_id", "hash", "turn", F.lit(None).cast(quotes.select(rank.alias("r")).schema["r"].dataType).alias("rank"), F.col("turn").alias("source")).unionByName(quotes.select("conv_id", "hash", "turn", rank.alias("rank"), F.lit(None).cast("long").alias("source")))
     earlier = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    linked = marked.withColumn("parent", F.max("source").over(earlier)).where("level is not null and parent is not null")
-    return linked.groupBy("conv_id", "turn").agg(F.max(F.struct((-F.col("level")).alias("l"), "parent"))["parent"].alias("parent"))
+    linked = marked.withColumn("parent", F.max("source").over(earlier)).where("rank is not null and parent is not null")
+    return linked.groupBy("conv_id", "turn").agg(F.max(F.struct("rank", "parent"))["parent"].alias("parent"))
 
 
 def _runs(turns: DataFrame, starts: DataFrame) -> DataFrame:
@@ -158,8 +166,6 @@ def format_chat(messages: DataFrame) -> DataFrame:
     found = written(parsed(messages), "messages")
     linked = written(parents(found), "parents")
     rows = found.select("conv_id", "turn", "role", F.col("body").alias("text"), "n_passages", "max_level")
-    if not linked.limit(1).count():
-        return rows.withColumns({"parent": F.lit(None).cast("long"), "run_place": F.lit(0).cast("long"), "reply": F.lit(False)})
     touched = linked.select(F.col("conv_id").alias("c")).distinct()
     turns = found.join(touched, F.expr("conv_id <=> c"), "left_semi").where("turn is not null").select("conv_id", "turn").distinct()
     run_of = written(_runs(turns, linked), "runs")

@@ -27,10 +27,10 @@ def plain(rows):
             best = None
             for d, p in [q for x in texts for q in quotes.parse(x)[1]]:
                 for s in sorted(turns):
-                    if s < t and own[s] & quotes.parts(p):
-                        best = max(best, (-d, s)) if best else (-d, s)
+                    for _, n in own[s] & quotes.parts(p) if s < t else ():
+                        best = max(best, (-d, n, s)) if best else (-d, n, s)
             if best:
-                parent[t] = best[1]
+                parent[t] = best[2]
         order, kids, last = sorted(turns), {}, None
         for t in order:
             up = parent.get(t, last)
@@ -84,6 +84,28 @@ def test_order_equals_a_plain_reading(spark, monkeypatch):
     assert quotes.rendered(quotes.format_chat(messages)).where("chat like '<|unknown|>%'").count() > 0
 
 
+def test_sentences_and_wrapped_parts(spark):
+    said = "The first point is short. The second point, which matters, needs a longer answer than that. Yes."
+    rows = [
+        (1, 0, "a", said), (1, 1, "b", "Something else. Yes."),
+        (1, 2, "c", "> The second point, which\n> matters, needs a longer\n> answer than that. Yes.\nI agree."),
+        (1, 3, "d", "> Yes.\nNo."), (1, 4, "e", "> not said by anyone\nHm."), (2, 0, "a", "> The first point is short.\nin another conversation"),
+        (1, 5, "f", "> " + "very long " * 50_000 + "\n" + "x" * 300_000),
+    ]
+    got = {(r["conv_id"], r["turn"]): r for r in quotes.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert {k: r["parent"] for k, r in got.items()} == {(1, 0): None, (1, 1): None, (1, 2): 0, (1, 3): 1, (1, 4): None, (1, 5): None, (2, 0): None}
+    assert got[1, 2]["text"] == "I agree." and got[1, 5]["text"] == "x" * 300_000 and got[1, 4]["n_passages"] == 1
+
+
+def test_links_over_many_conversations(spark):
+    r = random.Random(12)
+    rows = [x for c in range(300) for x in thread(r, c, r.randint(1, 12))] + thread(r, 999, 400)
+    got = quotes.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    want = plain(rows)
+    assert len(got) == len(rows) and not [x for x in got if (x["parent"], x["run_place"]) != want[x["conv_id"], x["turn"]]]
+    assert sum(x["reply"] for x in got) > 500
+
+
 @pytest.mark.parametrize("where", ["false", "true"])
 def test_without_quotes(spark, sf_dir, where):
     messages = spark.read.parquet(f"{sf_dir}/conversations.parquet").where(where)
