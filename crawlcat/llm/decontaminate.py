@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from crawlcat.llm.common import released
 from crawlcat.llm.wordids import _flat, slices
 
 WINDOW, STEP = 16, 8
@@ -198,8 +199,8 @@ def directions(docs: DataFrame, items: Items) -> tuple[np.ndarray, np.ndarray]:
                 totals[part] = totals[part] + own if part in totals else own
         yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array([t.tobytes() for t in totals.values()], pa.binary())], ["part", "sums"])
 
-    partial = docs.select("text").mapInArrow(summed, "part long, sums binary")
-    got = {r["part"]: np.frombuffer(bytes(r["sums"])) for r in partial.repartition("part").mapInArrow(added, "part long, sums binary").collect()}
+    partial = docs.select("text").mapInArrow(released(summed), "part long, sums binary")
+    got = {r["part"]: np.frombuffer(bytes(r["sums"])) for r in partial.repartition("part").mapInArrow(released(added), "part long, sums binary").collect()}
     total, seen, blocks = np.zeros((n, width)), np.zeros(n), got.pop(-1, np.zeros(1))[0]
     for part, sums in got.items():
         own = sums.reshape(-1, width + 1)
@@ -394,7 +395,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 columns = [*zip(*hits)][2:] if hits else [()] * 4
                 yield pa.RecordBatch.from_arrays([ids, pa.array([names[h[1]] for h in hits], pa.int64()), *(pa.array(c, t) for c, t in zip(columns, (pa.float64(), pa.float64(), pa.bool_(), pa.int64())))], HITS.names)
 
-        own = rows.mapInArrow(found, HITS)
+        own = rows.mapInArrow(released(found), HITS)
         out = own if out is None else out.unionByName(own)
     return out if out is not None else docs.sparkSession.createDataFrame([], HITS)
 
@@ -416,5 +417,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 dirty[[h[0] for h in search(batch.column(at).fill_null(""))]] = True
                 yield batch.filter(pa.array(~dirty))
 
-        out = out.mapInArrow(kept, schema)
+        out = out.mapInArrow(released(kept), schema)
     return out

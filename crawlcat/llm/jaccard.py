@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from crawlcat.llm.common import unused, written
+from crawlcat.llm.common import released, unused, written
 from crawlcat.llm.components import components
 from crawlcat.llm.decontaminate import words
 from crawlcat.llm.wordids import slices
@@ -39,8 +39,8 @@ LOOSE = 0.6
 BLOCK, PIVOTS = 1_024, 8
 #: Sets and n-grams in a block of the exact step (a task holds two), and sets compared at once in it.
 EXACT_SETS, EXACT_GRAMS, AT_ONCE = 8_192, 3_000_000, 1_024
-#: Bits of the filter that tells which texts the exact step needs; where they fill up, more texts go on than it needs.
-FILTER_BITS = 1 << 23
+#: Bits of the filter that tells which texts the exact step needs, and how many there are for each such text; texts beyond that are picked by a join.
+FILTER_BITS, FILTER_SHARE = 1 << 24, 4
 SLICE_BYTES, STEP_GRAMS, DENSE = 4_000_000, 16_384, 64
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -129,7 +129,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 sig = signatures(found, at)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(set_keys(found, at)), pa.array(np.diff(at)), pa.array([s.tobytes() for s in sig], pa.binary())], ["doc_id", "text_hash", "set_key", "n_grams", "sig"])
 
-    return docs.select("doc_id", "text_hash", "text").mapInArrow(signed, "doc_id long, text_hash long, set_key long, n_grams long, sig binary")
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(released(signed), "doc_id long, text_hash long, set_key long, n_grams long, sig binary")
 
 
 def _matrix(blobs) -> np.ndarray:
@@ -183,8 +183,9 @@ def _spanning(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def _loose_edges(sets: DataFrame, n_runs: int) -> DataFrame:
+def _loose_edges(sets: DataFrame, n_runs: int, n_sets: int | None = None) -> DataFrame:
     """(a, b) of set keys: a spanning set of the loose links of every bucket."""
+    n_sets = sets.count() if n_sets is None else n_sets
     seeds = mix(np.arange(1, n_runs + 1, dtype=np.uint64) * _M1).view(np.int64)
 
     def first(batches):
@@ -216,9 +217,11 @@ def _loose_edges(sets: DataFrame, n_runs: int) -> DataFrame:
             if other.any():
                 yield pa.RecordBatch.from_arrays([pa.array(root[other]), pa.array(keys[other])], ["a", "b"])
 
-    nodes, ready = sets.select("set_key", "sig").mapInArrow(first, "bucket long, set_key long"), None
+    nodes, ready = sets.select("set_key", "sig").mapInArrow(released(first), "bucket long, set_key long"), None
+    most = math.ceil(n_sets * n_runs * CHILDREN**FIRST_DEPTH * 1.1)
     for depth in range(FIRST_DEPTH, DEPTH + 1):
-        nodes = written(nodes, f"nodes_{depth}")
+        nodes = written(nodes, f"nodes_{depth}", most)
+        most = nodes.count() * 2  # children of each, on the average 1.6
         pivots = F.array_distinct(F.array(*(F.min(F.struct(F.xxhash64("set_key", F.lit(i)), "set_key"))["set_key"] for i in range(PIVOTS))))
         sizes = nodes.groupBy("bucket").agg(F.count("*").alias("size"), pivots.alias("pivots")).where("size > 1")
         last = depth == DEPTH
@@ -231,11 +234,11 @@ def _loose_edges(sets: DataFrame, n_runs: int) -> DataFrame:
         ready = inside if ready is None else ready.union(inside)
         if not last:
             large = sizes.where(F.col("size") > SMALL).select("bucket")
-            nodes = nodes.join(large, "bucket").join(sets.select("set_key", "sig"), "set_key").select("bucket", "set_key", "sig").mapInArrow(further, "bucket long, set_key long")
+            nodes = nodes.join(large, "bucket").join(sets.select("set_key", "sig"), "set_key").select("bucket", "set_key", "sig").mapInArrow(released(further), "bucket long, set_key long")
     dealt = ready.join(sets.select("set_key", "sig"), "set_key").select("bucket", "block", "set_key", "sig").repartition("bucket", "block").sortWithinPartitions("bucket", "block", "set_key")
-    edges = written(dealt.mapInArrow(linked, "a long, b long").distinct(), "links")
+    edges = written(dealt.mapInArrow(released(linked), "a long, b long").distinct(), "links", most)
     hot = nodes.join(sizes.where(F.col("size") > BLOCK).select("bucket"), "bucket").select("bucket", "set_key")
-    return edges.union(_across(written(hot, "hot"), sets, edges)).distinct()
+    return edges.union(_across(written(hot, "hot", most), sets, edges)).distinct()
 
 
 def _across(hot: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
@@ -243,8 +246,9 @@ def _across(hot: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
     spark = hot.sparkSession
     if not hot.limit(1).count():
         return spark.createDataFrame([], "a long, b long")
-    labels = components(edges, "first_links").withColumnRenamed("v", "set_key")
-    named = written(hot.join(labels, "set_key", "left").select("bucket", "set_key", F.coalesce("label", "set_key").alias("label")), "hot_labels")
+    n_hot, n_edges = hot.count(), edges.count()
+    labels = components(edges, "first_links", n_edges).withColumnRenamed("v", "set_key")
+    named = written(hot.join(labels, "set_key", "left").select("bucket", "set_key", F.coalesce("label", "set_key").alias("label")), "hot_labels", n_hot)
     per = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     # Two components of a bucket aren't both the greatest one, so the rest against all covers every pair of components.
     main = per.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("size"), (F.sum("n") - F.max("n")).alias("rest")).where("rest > 0")
@@ -271,7 +275,7 @@ def _across(hot: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
             if other.any():
                 yield pa.RecordBatch.from_arrays([pa.array(root[other]), pa.array(names[other])], ["a", "b"])
 
-    return faced.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi").mapInArrow(linked, "a long, b long")
+    return faced.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi").mapInArrow(released(linked), "a long, b long")
 
 
 def exact(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> np.ndarray:
@@ -327,10 +331,9 @@ def decide(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> tuple[
 def _needed(asked: DataFrame) -> np.ndarray:
     """A filter of FILTER_BITS bits over the text hashes that are asked for, put together by the executors."""
     place = F.pmod("text_hash", F.lit(FILTER_BITS))
-    words = asked.select(place.alias("p")).select(F.expr("cast(p div 32 as int)").alias("word"), F.expr("shiftleft(1L, cast(p % 32 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for r in words:  # FILTER_BITS / 32 rows at most
-        out[r["word"]] = r["bits"]
+    words = asked.select(place.alias("p")).select(F.expr("cast(p div 32 as int)").alias("word"), F.expr("shiftleft(1L, cast(p % 32 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 32, np.uint32)  # and as many rows at most
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return out
 
 
@@ -338,26 +341,32 @@ def _decided(docs: DataFrame, threshold: float, n: int, recall: float) -> tuple[
     """Rows (doc_id, text_hash, set_key) of ``docs`` and (set_key, label, first, n_links) of every set; ``first`` is its least (unnamed, doc_id, text_hash)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     members = written(_sets(rows, n), "members")
-    sets = written(members.groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"), F.min("n_grams").alias("n_grams"), F.first("sig").alias("sig")), "sets")
-    loose = components(_loose_edges(sets.where("n_grams > 0"), runs(recall)), "loose")
+    n_rows = members.count()
+    sets = written(members.groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"), F.min("n_grams").alias("n_grams"), F.first("sig").alias("sig")), "sets", n_rows)
+    links = _loose_edges(sets.where("n_grams > 0"), runs(recall), n_rows)
+    loose = components(links, "loose")
 
     # All pairs inside the loose components, in blocks.
-    inside = written(loose.join(sets.select(F.col("set_key").alias("v"), "first", "n_grams"), "v").select(F.col("v").alias("set_key"), "label", "first.*", "n_grams"), "loose_members")
+    inside = written(loose.join(sets.select(F.col("set_key").alias("v"), "first", "n_grams"), "v").select(F.col("v").alias("set_key"), "label", "first.*", "n_grams"), "loose_members", n_rows)
     sizes = inside.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / EXACT_SETS), F.ceil(F.sum("n_grams") / EXACT_GRAMS)).cast("int").alias("blocks"))
     asked = inside.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("set_key"), "blocks").cast("int"))
-    needed = rows.sparkSession.sparkContext.broadcast(_needed(asked))  # FILTER_BITS / 8 bytes
+    few = inside.count() <= FILTER_BITS // FILTER_SHARE
+    needed = rows.sparkSession.sparkContext.broadcast(_needed(asked) if few else None)  # FILTER_BITS / 8 bytes
+    if not few:  # the filter would let too many through
+        rows = rows.join(asked.select("text_hash").distinct(), "text_hash", "left_semi")
 
     def gram_rows(batches):
         bits = needed.value
         for batch in batches:
-            place = batch.column(1).to_numpy() % FILTER_BITS
-            batch = batch.filter(pa.array((bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1))
+            if bits is not None:
+                place = batch.column(1).to_numpy() % FILTER_BITS
+                batch = batch.filter(pa.array((bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1))
             for a, b in slices(batch.column(2), SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 found, at = grams(part.column(2), n)
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array([found[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary())], ["d", "t", "grams"])
 
-    own = rows.select("doc_id", "text_hash", "text").mapInArrow(gram_rows, "d long, t long, grams binary")
+    own = rows.select("doc_id", "text_hash", "text").mapInArrow(released(gram_rows), "d long, t long, grams binary")
     grammed = own.join(asked.select("doc_id", "text_hash", "set_key", "label", "block", "blocks"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t")))
     facing = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = grammed.select("label", "block", "set_key", "grams", facing).select("label", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "set_key", "block", "grams")
@@ -371,8 +380,9 @@ def _decided(docs: DataFrame, threshold: float, n: int, recall: float) -> tuple[
             root, links = decide([np.frombuffer(r[2], np.uint64) for r in group], side, threshold)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(keys[root]), pa.array(links)], ["set_key", "root", "links"])
 
-    decisions = written(paired.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi", "set_key").mapInArrow(decided, "set_key long, root long, links long"), "decisions")
-    tied = components(decisions.select(F.col("set_key").alias("a"), F.col("root").alias("b")), "exact")
+    decisions = written(paired.repartition("label", "lo", "hi").sortWithinPartitions("label", "lo", "hi", "set_key").mapInArrow(released(decided), "set_key long, root long, links long"), "decisions")
+    n_decisions = decisions.count()
+    tied = components(decisions.select(F.col("set_key").alias("a"), F.col("root").alias("b")), "exact", n_decisions)
     counted = decisions.groupBy("set_key").agg(F.sum("links").alias("n_links"))
     return members, sets.select("set_key", "first").join(tied.withColumnRenamed("v", "set_key"), "set_key", "left").join(counted, "set_key", "left").select("set_key", F.coalesce("label", "set_key").alias("label"), "first", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 

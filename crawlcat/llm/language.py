@@ -34,7 +34,7 @@ MARGIN = 0.5
 ENOUGH = 30
 UNDETERMINED = "und"
 #: Texts and bytes of one block of vectors.
-BLOCK_TEXTS, BLOCK_BYTES = 1_024, 6_000_000
+BLOCK_TEXTS, BLOCK_BYTES = 512, 3_000_000
 
 _CLASS = np.zeros(256, np.int32)
 _CLASS[97:123] = np.arange(1, 27)

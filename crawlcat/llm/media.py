@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from crawlcat.llm.common import released
+
 RATE, PAD = 8_000, 64
 FRAME, HOP, FRAMES = 256, 128, 4_096
 #: Peaks of a frame, followers of a peak it is paired with, and the greatest distance of a pair in frames.
@@ -138,7 +140,7 @@ def store(docs: DataFrame, with_media: bool = True) -> DataFrame:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(gathered, MEDIA)
+    return rows.mapInArrow(released(gathered), MEDIA)
 
 
 _ARROW = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())

@@ -24,7 +24,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 END_ID = 1
 #: Distinct chunks kept in each of the two generations of the cache.
-CACHE_ENTRIES = 350_000
+CACHE_ENTRIES = 200_000
 #: UTF-8 bytes handled at once.
 SLICE_BYTES = 8_000_000
 
