@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 # Months, promotion and navigation lines, in their order.
 MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
@@ -16,13 +18,28 @@ REPLACEMENT = "\ufffd"
 SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
+@functools.lru_cache
+def _unsettled() -> str:
+    """Class of the characters that composition may change: marks, vowel and final jamo, and whatever isn't its own composed form."""
+    alone = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.normalize("NFC", chr(c)) != chr(c)]
+    first = [c for c, last in zip(alone, [-2, *alone]) if c != last + 1]
+    final = [c for c, after in zip(alone, [*alone[1:], -2]) if c != after - 1]
+    return r"[\p{M}\x{1161}-\x{1175}\x{11A8}-\x{11C2}" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in zip(first, final)) + "]"
+
+
+@F.pandas_udf(StringType())
+def _composed(x: pd.Series) -> pd.Series:
+    return x.map(lambda v: unicodedata.normalize("NFC", v), na_action="ignore")
+
+
 def nfc(s: Column) -> Column:
-    """Composed form; Spark has no function of its own for it."""
+    """Composed form; Spark has no function of its own for it, so texts that may change, and only these, go through Python."""
+    return F.coalesce(_composed(F.when(s.rlike(_unsettled()), s)), s)
 
-    def composed(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: None if v is None else unicodedata.normalize("NFC", v))
 
-    return F.pandas_udf(composed, "string", F.PandasUDFType.SCALAR)(s)
+def trimmed(s: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(s, f"^{SPACE}|{SPACE}$", "")
 
 
 def normalized(s: Column, compose: bool = True) -> Column:
@@ -33,7 +50,7 @@ def normalized(s: Column, compose: bool = True) -> Column:
 
 
 def non_empty(s: Column) -> Column:
-    return F.nullif(F.trim(s), F.lit(""))
+    return F.nullif(trimmed(s), F.lit(""))
 
 
 def right_trimmed(s: Column) -> Column:

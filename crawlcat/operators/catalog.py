@@ -35,14 +35,16 @@ def reconcile(prior: DataFrame, found: DataFrame, now: Column) -> DataFrame:
 
 def invariants(entries: DataFrame, order: DataFrame) -> DataFrame:
     """(catalog_id, fault, stable_id) rows: identities in the order but not the entries, the other way round, repeats, blank addresses, shared positions."""
-    fault = lambda rows, name: rows.select("catalog_id", F.lit(name).alias("fault"), "stable_id")
-    repeated = lambda rows: rows.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1")
-    shared = entries.withColumn("n", F.count("*").over(Window.partitionBy("catalog_id", "position"))).where("n > 1")
-    parts = [fault(order.join(entries, KEY, "left_anti"), "missing entry"), fault(entries.join(order, KEY, "left_anti"), "not in order"), fault(repeated(order), "repeated in order"), fault(repeated(entries), "repeated entry"), fault(entries.where("trim(coalesce(url, '')) = ''"), "blank url"), fault(shared, "shared position")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    shared = F.count("*").over(Window.partitionBy("catalog_id", "position")) > 1
+    own = entries.select(*KEY, F.lit(0).alias("ordered"), F.lit(1).alias("entry"), text.non_empty(F.col("url")).isNull().cast("int").alias("blank"), shared.cast("int").alias("shared"))
+    every = order.select(*KEY, F.lit(1).alias("ordered"), *(F.lit(0).alias(c) for c in ("entry", "blank", "shared"))).unionByName(own)
+    n = every.groupBy(*KEY).agg(*(F.sum(c).cast("int").alias(c) for c in ("ordered", "entry", "blank", "shared")))
+    times = {
+        "missing entry": F.when(F.col("entry") == 0, F.col("ordered")), "not in order": F.when(F.col("ordered") == 0, F.col("entry")), "repeated in order": (F.col("ordered") > 1).cast("int"),
+        "repeated entry": (F.col("entry") > 1).cast("int"), "blank url": F.col("blank"), "shared position": F.col("shared"),
+    }
+    faults = F.flatten(F.array(*(F.array_repeat(F.lit(name), F.coalesce(k, F.lit(0))) for name, k in times.items())))
+    return n.select("catalog_id", F.explode(faults).alias("fault"), "stable_id")
 
 
 def success_clock(success: Column, checked: Column) -> Column:

@@ -50,18 +50,23 @@ def discover(anchors: DataFrame, policy: HostPolicy, min_items: int, allow_fallb
     The report has a row for each index: strategy, marked and item counts,
     duplicates, rejections, drift and an error.
     """
-    every = classify(anchors, policy)
-    enough = F.col("marked_items") >= min_items
-    marked = first_wins(every.where("accepted and marked"), ["index_id"], "stable_id", "source_index").where("nth = 1").groupBy("index_id").agg(F.count("*").alias("marked_items"))
-    sized = every.groupBy("index_id").agg(F.count_if("marked").alias("marked_count")).join(marked, "index_id", "left").fillna(0, ["marked_items"])
-    strategy = sized.withColumn("strategy", F.when(enough, "marker").when(F.lit(allow_fallback), "fallback").otherwise("none"))
-    used = every.join(strategy, "index_id").where("strategy = 'fallback' or (strategy = 'marker' and marked)")
-    found = items(used.drop("marked_items", "marked_count"))
-    counts = first_wins(used.where("accepted"), ["index_id"], "stable_id", "source_index").groupBy("index_id").agg(F.count_if(F.col("nth") == 1).alias("n_items"), F.count_if(F.col("nth") > 1).alias("n_duplicates"))
-    refused = used.where("not accepted").groupBy("index_id").agg(F.count("*").alias("n_rejections"))
-    report = strategy.join(counts, "index_id", "left").join(refused, "index_id", "left").fillna(0, ["n_items", "n_duplicates", "n_rejections"])
+    # Dealt by index once; the windows and sums of an index are taken where it is.
+    own = Window.partitionBy("index_id", "stable_id").orderBy("source_index")
+    every = classify(anchors, policy).repartition("index_id").withColumn("nth", F.row_number().over(own))
+    every = every.withColumn("nth_marked", F.when(F.col("marked"), F.count_if("marked").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    on = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    accepted, marked = F.col("accepted"), F.col("marked")
+    sizes = every.groupBy("index_id").agg(
+        on(marked).alias("marked_count"), on(accepted & (F.col("nth_marked") == 1)).alias("m_items"), on(accepted & (F.col("nth_marked") > 1)).alias("m_duplicates"), on(~accepted & marked).alias("m_rejections"),
+        on(accepted & (F.col("nth") == 1)).alias("f_items"), on(accepted & (F.col("nth") > 1)).alias("f_duplicates"), on(~accepted).alias("f_rejections"),
+    )
+    sized = sizes.withColumn("strategy", F.when(F.col("m_items") >= min_items, "marker").when(F.lit(allow_fallback), "fallback").otherwise("none"))
+    chosen = lambda n: F.when(F.col("strategy") == "marker", F.col(f"m_{n}")).when(F.col("strategy") == "fallback", F.col(f"f_{n}")).otherwise(F.lit(0).cast("long")).alias(f"n_{n}")
+    report = sized.select("index_id", "strategy", "marked_count", *map(chosen, ("items", "duplicates", "rejections")))
     drift = text.drift_score(F.col("n_items"), F.col("marked_count"), F.col("strategy") == "fallback", F.col("n_duplicates"), F.col("n_rejections"))
     error = F.when(F.col("strategy") == "none", "too few marked items").when(F.col("n_items") < min_items, "too few items")
+    kept = every.where("accepted").join(sized.select("index_id", "strategy"), "index_id").where("(strategy = 'marker' and nth_marked = 1) or (strategy = 'fallback' and nth = 1)").drop("nth", "nth_marked")
+    found = kept.withColumn("position", F.row_number().over(Window.partitionBy("index_id").orderBy("source_index")))
     return found, report.select("index_id", "strategy", "marked_count", "n_items", "n_duplicates", "n_rejections", drift.alias("drift_score"), error.alias("error"))
 
 

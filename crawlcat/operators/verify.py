@@ -72,20 +72,20 @@ def field_faults(views: DataFrame, limit: int = 400) -> DataFrame:
 
 def parity(views: DataFrame, min_items: int = 1) -> DataFrame:
     """Violations across the formats: counts first; only equal counts are asked for the floor and the order of ids, only equal ids for titles, addresses and summaries."""
-    count = lambda f: F.count_if(F.col("fmt") == f)
-    sizes = views.groupBy("feed_id").agg(count("rss").alias("r"), count("atom").alias("a"), count("json").alias("j")).withColumn("level", (F.col("r") == F.col("a")) & (F.col("a") == F.col("j")))
-    none = F.lit(None).cast("int").alias("idx")
-    whole = lambda rows, code: rows.select("feed_id", F.lit(code).alias("code"), F.lit("all").alias("fmt"), none)
-    side = lambda f: views.where(F.col("fmt") == f).select("feed_id", "idx", F.struct("item_id", "title", "url", "summary").alias(f))
-    level = sizes.where("level").select("feed_id")
-    three = side("rss").join(side("atom"), ["feed_id", "idx"], "full_outer").join(side("json"), ["feed_id", "idx"], "full_outer").join(level, "feed_id", "left_semi")
-    differ = lambda f: ~(F.col(f"rss.{f}").eqNullSafe(F.col(f"atom.{f}")) & F.col(f"atom.{f}").eqNullSafe(F.col(f"json.{f}")))
-    ids = three.groupBy("feed_id").agg(F.bool_or(differ("item_id")).alias("bad"))
-    same = three.join(ids.where("not bad"), "feed_id", "left_semi")
-    codes = F.array_compact(F.array(*(F.when(differ(f), f"{f.upper()}_ORDER_MISMATCH") for f in ("title", "url", "summary"))))
-    payload = same.select("feed_id", "idx", F.explode(codes).alias("code")).select("feed_id", "code", F.lit("all").alias("fmt"), "idx")
-    out = whole(sizes.where("not level"), "COUNT_MISMATCH").unionByName(whole(sizes.where((F.col("r") < min_items) & F.col("level")), "BELOW_MIN_ITEMS"))
-    return out.unionByName(whole(ids.where("bad"), "ID_ORDER_MISMATCH")).unionByName(payload)
+    formats, fields = ("rss", "atom", "json"), ("item_id", "title", "url", "summary")
+    sides = [F.max(F.when(F.col("fmt") == f, F.struct(*fields))).alias(f) for f in formats] + [F.count_if(F.col("fmt") == f).alias(f"n_{f}") for f in formats]
+    differ = lambda c: ~(F.col(f"rss.{c}").eqNullSafe(F.col(f"atom.{c}")) & F.col(f"atom.{c}").eqNullSafe(F.col(f"json.{c}")))
+    # Dealt by feed once: places, then whole feeds, are put together where they are.
+    places = views.repartition("feed_id").groupBy("feed_id", "idx").agg(*sides).withColumns({f"bad_{c}": differ(c) for c in fields})
+    feed = Window.partitionBy("feed_id")
+    known = places.withColumns({**{f"s_{f}": F.sum(f"n_{f}").over(feed) for f in formats}, "bad": F.bool_or("bad_item_id").over(feed), "first": F.min("idx").over(feed)})
+    level = (F.col("s_rss") == F.col("s_atom")) & (F.col("s_atom") == F.col("s_json"))
+    none = F.lit(None).cast("int")
+    fault = lambda on, code, at: F.when(on, F.struct(F.lit(code).alias("code"), at.alias("idx")))
+    once = F.col("idx") == F.col("first")
+    whole = [fault(once & ~level, "COUNT_MISMATCH", none), fault(once & level & (F.col("s_rss") < min_items), "BELOW_MIN_ITEMS", none), fault(once & level & F.col("bad"), "ID_ORDER_MISMATCH", none)]
+    each = [fault(level & ~F.col("bad") & F.col(f"bad_{c}"), f"{c.upper()}_ORDER_MISMATCH", F.col("idx")) for c in fields[1:]]
+    return known.select("feed_id", F.explode(F.array_compact(F.array(*whole, *each))).alias("f")).select("feed_id", "f.code", F.lit("all").alias("fmt"), "f.idx")
 
 
 def order_parity(entries: DataFrame, views: DataFrame) -> DataFrame:

@@ -109,9 +109,9 @@ def normalize_urls(spark, d):
     return table(spark, d, "pages").select("page_id", url.alias("normalized"), error.alias("error"))
 
 
-@query(f"SELECT page_id, {_candidate('url', 'substr(html, 1, page_id % 3)')} AS candidate FROM pages")
+@query(f"SELECT page_id, {_candidate('url', 'html')} AS candidate FROM pages")
 def content_candidates(spark, d):
-    return table(spark, d, "pages").select("page_id", urls.content_candidate(F.col("url"), F.expr("substring(html, 1, cast(page_id % 3 as int))"), POLICY).alias("candidate"))
+    return table(spark, d, "pages").select("page_id", urls.content_candidate(F.col("url"), F.col("html"), POLICY).alias("candidate"))
 
 
 @query(f"WITH c AS (SELECT page_id, {_canonical('url')} AS u FROM pages) SELECT page_id, {_stable('u')} AS stable_id, NOT {_CDN(_host('u'))} AS is_permalink FROM c WHERE u IS NOT NULL")
@@ -156,6 +156,10 @@ SPACES = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 AUTHOR = IDENTITY.author
 
 
+def _strip(s: str) -> str:
+    return f"regexp_replace({s}, '^{SPACES}|{SPACES}$', '', 'g')"
+
+
 def _truncated(s: str, n: int = 400) -> str:
     head = f"substr({s}, 1, {n - 1})"
     word = f"regexp_replace(regexp_replace({head}, '(?s) [^ ]*$', ''), '{SPACES}$', '')"
@@ -176,18 +180,18 @@ def truncate_text(spark, d):
     return table(spark, d, "documents").select("doc_id", text.truncated(F.col("text")).alias("t400"), text.truncated(F.col("text"), 40).alias("t40"))
 
 
-@query(f"SELECT doc_id, {_blurb('substr(text, 1, 30)')} AS blurb FROM documents")
+@query(f"SELECT doc_id, {_blurb('text')} AS blurb FROM documents")
 def blurbs(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.blurb(F.substring("text", 1, 30), AUTHOR).alias("blurb"))
+    return table(spark, d, "documents").select("doc_id", text.blurb(F.col("text"), AUTHOR).alias("blurb"))
 
 
-_SAID = f"coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END, ''), {_blurb('substr(text, 1, 30)')})"
+_SAID = f"coalesce(nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END, ''), {_blurb('text')})"
 
 
-@query(f"SELECT doc_id, coalesce(nullif({_truncated(_SAID)}, ''), {_blurb('substr(text, 1, 30)')}) AS summary FROM documents")
+@query(f"SELECT doc_id, coalesce(nullif({_truncated(_SAID)}, ''), {_blurb('text')}) AS summary FROM documents")
 def feed_summary(spark, d):
     s = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text"))
-    return table(spark, d, "documents").select("doc_id", text.feed_summary(s, F.lit(None).cast("string"), F.substring("text", 1, 30), AUTHOR).alias("summary"))
+    return table(spark, d, "documents").select("doc_id", text.feed_summary(s, F.lit(None).cast("string"), F.col("text"), AUTHOR).alias("summary"))
 
 
 @query("SELECT doc_id, sha256(text) AS sha256 FROM documents")
@@ -208,16 +212,15 @@ def _hint(c: str) -> str:
     return f"CASE WHEN regexp_matches(substr({c}, 1, 400), '{_MONTH}') THEN upper(substr({m}, 1, 1)) || lower(substr({m}, 2)) || ' ' || regexp_extract(substr({c}, 1, 400), '{_MONTH}', 2) END"
 
 
-_DATED = "CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN 'In mARCH   ' || cast(1990 + doc_id % 30 AS VARCHAR) || ' ' || text WHEN 2 THEN substr(text, 1, 380) || ' July 2001' ELSE 'Marches 2001 ' || text END"
+_DATED = "CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN 'In mARCH   ' || cast(1990 + doc_id % 30 AS VARCHAR) || ' ' || text WHEN 2 THEN text || ' July 2001' ELSE 'Marches 2001 ' || text END"
 
 
 @query(f"WITH d AS (SELECT doc_id, {_DATED} AS c FROM documents) SELECT doc_id, coalesce({_hint('c')}, {_hint('substr(c, 200)')}) AS hint FROM d")
 def published_hints(spark, d):
-    c = table(spark, d, "documents").select("doc_id", F.expr("CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN concat('In mARCH   ', cast(1990 + doc_id % 30 AS STRING), ' ', text) WHEN 2 THEN concat(substr(text, 1, 380), ' July 2001') ELSE concat('Marches 2001 ', text) END").alias("c"))
+    c = table(spark, d, "documents").select("doc_id", F.expr("CASE doc_id % 4 WHEN 0 THEN text WHEN 1 THEN concat('In mARCH   ', cast(1990 + doc_id % 30 AS STRING), ' ', text) WHEN 2 THEN concat(text, ' July 2001') ELSE concat('Marches 2001 ', text) END").alias("c"))
     return c.select("doc_id", text.published_hint(F.col("c"), F.expr("substring(c, 200)")).alias("hint"))
 
 
-_QUALITY_TEXT = "CASE doc_id % 7 WHEN 0 THEN text WHEN 1 THEN substr(text, 1, 30) WHEN 2 THEN '  ' WHEN 3 THEN 'Subscribe and click here. ' || substr(text, 1, 90) WHEN 4 THEN 'Home | About' WHEN 5 THEN text || chr(65533) ELSE NULL END"
 _FAULTS = [
     ("too_short", 0.35, "length(trim(s)) < 40"), ("subscribe", 0.4, "contains(lower(s), 'subscribe')"), ("click_here", 0.3, "contains(lower(s), 'click here')"),
     ("nav_like", 0.4, f"regexp_matches(s, '{text.NAV_LIKE}')"), ("replacement_char", 0.5, "contains(s, chr(65533))"),
@@ -226,20 +229,18 @@ _SCORE = "1.0::DOUBLE" + "".join(f" - CASE WHEN {c} THEN {off}::DOUBLE ELSE 0.0:
 _FLAGS = "concat_ws(','" + "".join(f", CASE WHEN {c} THEN '{n}' END" for n, _, c in _FAULTS) + ")"
 
 
-@query(f"WITH d AS (SELECT doc_id, {_QUALITY_TEXT} AS s FROM documents) SELECT doc_id, CASE WHEN s IS NULL OR trim(s) = '' THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, {_SCORE})) END AS score, CASE WHEN s IS NULL OR trim(s) = '' THEN 'empty' ELSE {_FLAGS} END AS flags FROM d")
+@query(f"WITH d AS (SELECT doc_id, text AS s FROM documents) SELECT doc_id, CASE WHEN s IS NULL OR trim(s) = '' THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, {_SCORE})) END AS score, CASE WHEN s IS NULL OR trim(s) = '' THEN 'empty' ELSE {_FLAGS} END AS flags, CASE WHEN s IS NULL OR trim(s) = '' THEN NULL WHEN contains(s, chr(65533)) THEN 0.35 ELSE 0.9 END::DOUBLE AS coarse FROM d")
 def summary_quality(spark, d):
-    s = F.expr(_QUALITY_TEXT.replace("chr(65533)", "decode(X'EFBFBD', 'UTF-8')").replace("text ||", "text ||"))
-    score, flags = text.summary_quality(F.col("s"))
-    return table(spark, d, "documents").select("doc_id", s.alias("s")).select("doc_id", score.alias("score"), F.array_join(flags, ",").alias("flags"))
+    score, flags = text.summary_quality(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", score.alias("score"), F.array_join(flags, ",").alias("flags"), text.coarse_quality(F.col("text")).alias("coarse"))
 
 
 _CHROME = ", ".join(f"'{w}'" for w in text.CHROME_WORDS)
 
 
-@query(f"WITH d AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'Follow us ' || substr(text, 1, 20) WHEN 2 THEN 'About' ELSE substr(text, 1, 50) END AS s FROM documents) SELECT doc_id, s = '' OR regexp_matches(s, '{text.PROMO}') OR (length(s) < 12 AND lower(s) IN ({_CHROME})) AS promo FROM d")
+@query(f"SELECT doc_id, text = '' OR regexp_matches(text, '{text.PROMO}') OR (length(text) < 12 AND lower(text) IN ({_CHROME})) AS promo FROM documents")
 def promo_filter(spark, d):
-    s = F.expr("CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN concat('Follow us ', substr(text, 1, 20)) WHEN 2 THEN 'About' ELSE substr(text, 1, 50) END")
-    return table(spark, d, "documents").select("doc_id", text.is_promo(s).alias("promo"))
+    return table(spark, d, "documents").select("doc_id", text.is_promo(F.col("text")).alias("promo"))
 
 
 @query(
@@ -263,7 +264,10 @@ def encoding_labels(spark, d):
     return table(spark, d, "events").select("event_id", http.encoding(F.expr(_LABEL)).alias("encoding"))
 
 
-@query()
+@query(
+    """SELECT page_id, 'utf-8' AS encoding, CASE WHEN page_id % 3 = 0 THEN 'bom' WHEN page_id % 2 = 0 THEN 'transport' WHEN regexp_matches(lower(substr(html, 1, 4096)), '<meta[^>]+charset\\s*=\\s*["'']?\\s*utf-?8') THEN 'meta' ELSE 'utf8_strict' END AS source,
+    page_id % 3 = 0 AS had_bom, (length(html) - length(replace(html, chr(65533), '')))::INTEGER AS replacement_count, sha256(html) AS text_sha256 FROM pages"""
+)
 def decode_documents(spark, d):
     body = table(spark, d, "pages").select("page_id", F.expr("CASE WHEN page_id % 3 = 0 THEN concat(X'EFBBBF', encode(html, 'UTF-8')) ELSE encode(html, 'UTF-8') END").alias("body"), F.expr("CASE WHEN page_id % 2 = 0 THEN 'utf-8' END").alias("transport_charset"))
     return decode.decoded(body, "page_id").select("page_id", "encoding", "source", "had_bom", "replacement_count", F.sha2("text", 256).alias("text_sha256"))
@@ -274,31 +278,61 @@ def page_anchors(spark, d):
     return html.page_anchors(table(spark, d, "pages"))
 
 
-@query()
+def _plain(h: str) -> str:
+    """SQL: the text of a piece of these pages' HTML."""
+    bare = f"regexp_replace(regexp_replace({h}, '<br>', ' ', 'g'), '<[^>]*>', '', 'g')"
+    for name, c in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#x27", "''"), ("#39", "''"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        bare = f"replace({bare}, '&{name};', '{c}')"
+    return f"trim(regexp_replace(regexp_replace(nfc_normalize({bare}), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), '{SPACES}', ' ', 'g'))"
+
+
+_PROMO_SQL = lambda p: f"({p} = '' OR regexp_matches({p}, '{text.PROMO}') OR (length({p}) < 12 AND lower({p}) IN ({_CHROME})))"
+#: The pages are one article of a heading and paragraphs after a navigation and a division; SQL takes them apart by these.
+_PAGES = f"""p0 AS (SELECT page_id, url, {_plain("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title, {_plain("regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1)")} AS ad, string_split(regexp_extract(html, '(?s)<article>(.*?)(</article>|<footer>|$)', 1), '<p>') AS pieces FROM pages),
+    p1 AS (SELECT page_id, url, title, trim(ad || ' ' || {_plain("pieces[1]")}) AS loose, list_filter(list_transform(pieces[2:], lambda x: {_plain("regexp_replace(x, '(?s)</p>.*$', '')")}), lambda x: x <> '') AS paragraphs FROM p0),
+    p2 AS (SELECT *, list_filter(paragraphs, lambda x: length(x) >= 40 AND NOT {_PROMO_SQL('x')})[1] AS good, CASE WHEN title <> '' AND starts_with(loose, title) THEN regexp_replace(substr(loose, length(title) + 1), '^[ |:-]+', '') ELSE loose END AS body FROM p1),
+    p3 AS (SELECT *, list_reduce(list_filter(list_transform(string_split(regexp_replace(body, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''), lambda acc, x: CASE WHEN length(acc) >= 40 OR (acc = '' AND {_PROMO_SQL('x')}) THEN acc WHEN acc = '' THEN x ELSE acc || ' ' || x END, '') AS kept FROM p2),
+    p4 AS (SELECT *, coalesce(kept, '') AS k FROM p3),
+    p5 AS (SELECT *, CASE WHEN k = '' THEN body ELSE k END AS joined FROM p4),
+    p6 AS (SELECT *, coalesce(good, nullif(substr(CASE WHEN length(k) < 40 AND {_PROMO_SQL('joined')} THEN coalesce(nullif(regexp_replace(regexp_extract(body, '(?is)^.{{0,39}}?{text.PROMO.removeprefix('(?i)')}(.*)$', 2), '^[ .|:-]+', ''), ''), body) ELSE joined END, 1, 2000), '')) AS paragraph FROM p5)"""
+_EARLY = "(array_to_string(list_append(paragraphs[1:8], nullif(loose, '')), ' '))"
+
+
+@query("WITH m AS (SELECT page_id, regexp_extract_all(html, '<meta name=\"([^\"]*)\" content=\"[^\"]*\">', 1) AS n, regexp_extract_all(html, '<meta name=\"[^\"]*\" content=\"([^\"]*)\">', 1) AS c FROM pages) SELECT page_id, n[i] AS name, c[i] AS content FROM m, LATERAL (SELECT unnest(range(1, len(n) + 1)) AS i)")
 def meta_tags(spark, d):
     return html.parsed(table(spark, d, "pages")).select("page_id", F.explode("metas").alias("name", "content"))
 
 
-@query()
+@query(f"WITH {_PAGES} SELECT page_id, title, len(paragraphs)::INTEGER AS n_paragraphs, array_to_string(paragraphs, chr(10)) AS paragraphs, loose FROM p1")
 def page_paragraphs(spark, d):
     return html.parsed(table(spark, d, "pages")).select("page_id", "title", F.size("paragraphs").alias("n_paragraphs"), F.array_join("paragraphs", "\n").alias("paragraphs"), "loose")
 
 
-@query()
+@query(f"WITH {_PAGES} SELECT page_id, paragraph FROM p6")
 def first_paragraph(spark, d):
     return html.parsed(table(spark, d, "pages")).select("page_id", html.first_paragraph().alias("paragraph"))
 
 
-@query()
+_FOUND_SUMMARY = f"nullif({_truncated('paragraph')}, '')"
+_SUMMARY_SCORE = f"CASE WHEN s IS NULL OR trim(s) = '' THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, {_SCORE})) END AS quality_score, CASE WHEN s IS NULL OR trim(s) = '' THEN 'empty' ELSE {_FLAGS} END AS quality_flags"
+
+
+@query(
+    f"""WITH {_PAGES}, s AS (SELECT *, {_FOUND_SUMMARY} AS s, {_EARLY} AS early_text FROM p6)
+    SELECT page_id, nullif({_truncated('title')}, '') AS page_title, NULL::VARCHAR AS meta_description, NULL::VARCHAR AS og_title, NULL::VARCHAR AS og_description, NULL::VARCHAR AS canonical_url, coalesce({_hint('early_text')}, {_hint('paragraph')}) AS published_hint,
+    s AS summary, CASE WHEN s IS NOT NULL THEN 'content_paragraph' END AS summary_source, {_SUMMARY_SCORE}, NULL::VARCHAR AS image_url, NULL::VARCHAR AS keywords FROM s"""
+)
 def page_metadata(spark, d):
     return html.metadata(table(spark, d, "pages"), POLICY).withColumn("quality_flags", F.array_join("quality_flags", ","))
 
 
-@query()
+@query(
+    f"""WITH {_PAGES}, s AS (SELECT *, {_FOUND_SUMMARY} AS s, {_EARLY} AS early_text FROM p6)
+    SELECT page_id, nullif({_truncated('title')}, '') AS page_title, s AS summary, CASE WHEN s IS NOT NULL THEN 'content_paragraph' END AS summary_source, coalesce({_hint('early_text')}, {_hint('paragraph')}) AS published_hint FROM s WHERE ({_canonical('url')}) IS NOT NULL"""
+)
 def enrich_pages(spark, d):
-    pages = table(spark, d, "pages")
-    due = pages.select("page_id", urls.canonical(F.col("url"), POLICY).alias("c")).where("c is not null").select("page_id")
-    return html.metadata(pages.join(due, "page_id", "left_semi"), POLICY).select("page_id", "page_title", "summary", "summary_source", "published_hint")
+    due = table(spark, d, "pages").where(urls.canonical(F.col("url"), POLICY).isNotNull())
+    return html.metadata(due, POLICY).select("page_id", "page_title", "summary", "summary_source", "published_hint")
 
 
 # ---- Discovery --------------------------------------------------------------------------------------------------
@@ -313,9 +347,7 @@ _KEPT = "kept AS (SELECT *, row_number() OVER (PARTITION BY index_id, stable_id
 
 
 def anchors(spark, d):
-    pages = table(spark, d, "pages")
-    found = html.page_anchors(pages)
-    return found.join(pages.select("page_id", F.col("url").alias("base_url")), "page_id").withColumnRenamed("page_id", "index_id")
+    return html.page_anchors(table(spark, d, "pages"), "page_id", "html", "url").withColumnsRenamed({"page_id": "index_id", "url": "base_url"})
 
 
 @query(f"WITH {_ANCHORS} SELECT index_id, source_index::INTEGER AS source_index, href, url, stable_id, accepted, rejection_reason FROM classified")
@@ -357,8 +389,8 @@ def discover_index(spark, d):
     return discovery.discover(anchors(spark, d), POLICY, 5, True)[1]
 
 
-_PRIOR = "(SELECT doc_id % 20 AS catalog_id, doc_id AS stable_id, 'u' || doc_id AS url, substr(text, 1, 40) AS title, (doc_id // 20)::INTEGER AS position FROM documents WHERE (doc_id // 20) % 11 <> 3)"
-_FOUND = "(SELECT doc_id % 20 AS catalog_id, doc_id AS stable_id, CASE WHEN doc_id % 13 = 0 THEN 'v' ELSE 'u' END || doc_id AS url, CASE WHEN doc_id % 17 = 0 THEN 'New ' ELSE '' END || substr(text, 1, 40) AS title, (doc_id // 20 + 1)::INTEGER AS position FROM documents WHERE (doc_id // 20) % 7 <> 2 AND NOT (doc_id % 20 = 4 AND doc_id > 300))"
+_PRIOR = "(SELECT doc_id % 20 AS catalog_id, doc_id AS stable_id, 'u' || doc_id AS url, text AS title, (doc_id // 20)::INTEGER AS position FROM documents WHERE (doc_id // 20) % 11 <> 3)"
+_FOUND = "(SELECT doc_id % 20 AS catalog_id, doc_id AS stable_id, CASE WHEN doc_id % 13 = 0 THEN 'v' ELSE 'u' END || doc_id AS url, CASE WHEN doc_id % 17 = 0 THEN 'New ' ELSE '' END || text AS title, (doc_id // 20 + 1)::INTEGER AS position FROM documents WHERE (doc_id // 20) % 7 <> 2 AND NOT (doc_id % 20 = 4 AND doc_id > 300))"
 
 
 def _spark_sql(s: str) -> str:
@@ -368,7 +400,7 @@ def _spark_sql(s: str) -> str:
 def prior_found(spark, d):
     docs = table(spark, d, "documents")
     place = F.expr("cast(doc_id div 20 as int)")
-    base = docs.select((F.col("doc_id") % 20).alias("catalog_id"), F.col("doc_id").alias("stable_id"), F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("url"), F.substring("text", 1, 40).alias("title"), place.alias("position"), "text")
+    base = docs.select((F.col("doc_id") % 20).alias("catalog_id"), F.col("doc_id").alias("stable_id"), F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("title"), place.alias("position"), "text")
     prior = base.where("position % 11 <> 3")
     found = base.where("position % 7 <> 2 and not (catalog_id = 4 and stable_id > 300)").select(
         "catalog_id", "stable_id", F.concat(F.when(F.col("stable_id") % 13 == 0, "v").otherwise("u"), F.col("stable_id").cast("string")).alias("url"), F.concat(F.when(F.col("stable_id") % 17 == 0, "New ").otherwise(""), F.col("title")).alias("title"), (F.col("position") + 1).alias("position"), "text"
@@ -411,11 +443,11 @@ def reconcile_diff(spark, d):
 
 def entries_of(prior: DataFrame) -> DataFrame:
     old = F.lit("2024-01-15 00:00:00").cast("timestamp")
-    summary = F.expr("CASE stable_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE substr(text, 1, 500) END")
+    summary = F.expr("CASE stable_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE text END")
     return prior.select("catalog_id", "stable_id", "url", "title", "position", old.alias("first_seen_at"), old.alias("last_seen_at"), old.alias("observed_updated_at"), summary.alias("summary"))
 
 
-_SUMMARY = "CASE stable_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE substr(t.text, 1, 500) END"
+_SUMMARY = "CASE stable_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE t.text END"
 _ENTRIES = f"(SELECT p.*, TIMESTAMP '2024-01-15 00:00:00' AS first_seen_at, TIMESTAMP '2024-01-15 00:00:00' AS observed_updated_at, {_SUMMARY} AS summary FROM {_PRIOR} p JOIN documents t ON t.doc_id = p.stable_id)"
 _TIME = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 
@@ -512,9 +544,9 @@ def plan_refresh(spark, d):
 
 
 _BAD = "chr(65533)"
-_CAT = f"""cat AS (SELECT doc_id AS stable_id, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN substr(text, 1, 50) ELSE 'old summary' END AS summary, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'good summary' END AS prior_good_summary, CASE WHEN doc_id % 6 = 0 THEN 'May 2001' END AS published_hint, (doc_id % 9)::INTEGER AS failure_count FROM documents),
-    ev AS (SELECT doc_id AS stable_id, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 304 WHEN 2 THEN 503 ELSE 200 END AS status, CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN 'damaged ' || {_BAD} ELSE substr(text, 1, 50) END AS n, CASE WHEN doc_id % 8 = 0 THEN 'May 2001' END AS n_hint FROM documents WHERE doc_id % 11 <> 4),
-    j AS (SELECT cat.*, ev.status, nullif(trim(n), '') AS n, n_hint, ev.stable_id IS NOT NULL AS seen, ev.stable_id IS NOT NULL AND coalesce(status BETWEEN 200 AND 299, false) AS ok, ev.stable_id IS NOT NULL AND coalesce(status = 304, false) AS same FROM cat LEFT JOIN ev ON cat.stable_id = ev.stable_id),
+_CAT = f"""cat AS (SELECT doc_id AS stable_id, CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN text ELSE 'old summary' END AS summary, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'good summary' END AS prior_good_summary, CASE WHEN doc_id % 6 = 0 THEN 'May 2001' END AS published_hint, (doc_id % 9)::INTEGER AS failure_count FROM documents),
+    ev AS (SELECT doc_id AS stable_id, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 304 WHEN 2 THEN 503 ELSE 200 END AS status, CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN 'damaged ' || {_BAD} ELSE text END AS n, CASE WHEN doc_id % 8 = 0 THEN 'May 2001' END AS n_hint FROM documents WHERE doc_id % 11 <> 4),
+    j AS (SELECT cat.*, ev.status, nullif({_strip('n')}, '') AS n, n_hint, ev.stable_id IS NOT NULL AS seen, ev.stable_id IS NOT NULL AND coalesce(status BETWEEN 200 AND 299, false) AS ok, ev.stable_id IS NOT NULL AND coalesce(status = 304, false) AS same FROM cat LEFT JOIN ev ON cat.stable_id = ev.stable_id),
     g AS (SELECT *, coalesce(contains(n, {_BAD}), false) AS damaged, CASE WHEN (n IS NOT NULL AND NOT coalesce(contains(n, {_BAD}), false)) OR (prior_good_summary IS NULL AND n IS NOT NULL) THEN n ELSE prior_good_summary END AS good FROM j),
     x AS (SELECT *, CASE WHEN n IS NULL AND good IS NOT NULL THEN good WHEN damaged AND good IS NOT NULL AND NOT contains(good, {_BAD}) THEN good ELSE n END AS effective FROM g)"""
 
@@ -529,11 +561,11 @@ def apply_enrichment(spark, d):
     none = F.lit(None).cast("timestamp")
     old = F.lit("2024-01-01").cast("timestamp")
     cat = docs.select(
-        F.lit(0).alias("catalog_id"), F.col("doc_id").alias("stable_id"), F.expr("CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN substr(text, 1, 50) ELSE 'old summary' END").alias("summary"), F.expr("CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'good summary' END").alias("prior_good_summary"),
+        F.lit(0).alias("catalog_id"), F.col("doc_id").alias("stable_id"), F.expr("CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN text ELSE 'old summary' END").alias("summary"), F.expr("CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'good summary' END").alias("prior_good_summary"),
         F.lit(None).cast("string").alias("summary_source"), F.lit(None).cast("double").alias("summary_quality"), F.expr("CASE WHEN doc_id % 6 = 0 THEN 'May 2001' END").alias("published_hint"), none.alias("published_at"), old.alias("observed_updated_at"), F.lit("e").alias("etag"),
         F.lit("h").alias("raw_sha256"), old.alias("last_success_at"), old.alias("last_attempted_at"), F.expr("cast(doc_id % 9 as int)").alias("failure_count"), none.alias("next_retry_at"),
     )
-    n = F.expr("CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN concat('damaged ', decode(X'EFBFBD', 'UTF-8')) ELSE substr(text, 1, 50) END")
+    n = F.expr("CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN concat('damaged ', decode(X'EFBFBD', 'UTF-8')) ELSE text END")
     ev = docs.where("doc_id % 11 <> 4").select(F.lit(0).alias("catalog_id"), F.col("doc_id").alias("stable_id"), F.expr("CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 304 WHEN 2 THEN 503 ELSE 200 END").alias("status"), n.alias("summary"), F.expr("CASE WHEN doc_id % 8 = 0 THEN 'May 2001' END").alias("published_hint"), none.alias("published_at"), F.lit("n").alias("etag"), F.lit("n").alias("raw_sha256"))
     out = catalog.merge(cat, ev, now())
     hours = F.floor((F.unix_timestamp("next_retry_at") - F.unix_timestamp(now())) / 3600).cast("int")
@@ -553,14 +585,14 @@ def migrate_resource_state(spark, d):
 
 
 @query(
-    """WITH i AS (SELECT doc_id % 10 AS catalog_id, doc_id AS n, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE 'id' || (doc_id % 10) || '-' || ((doc_id // 10) % 60) END AS id, CASE WHEN doc_id % 17 = 0 THEN NULL ELSE 'u' || doc_id END AS url, substr(text, 1, 20) AS title FROM documents),
-    v AS (SELECT catalog_id, n, trim(id) AS id, trim(url) AS url, trim(title) AS title FROM i WHERE trim(id) <> '' AND trim(url) <> '' AND trim(title) <> ''), k AS (SELECT *, row_number() OVER (PARTITION BY catalog_id, id ORDER BY n) AS k FROM v)
+    f"""WITH i AS (SELECT doc_id % 10 AS catalog_id, doc_id AS n, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE 'id' || (doc_id % 10) || '-' || ((doc_id // 10) % 60) END AS id, CASE WHEN doc_id % 17 = 0 THEN NULL ELSE 'u' || doc_id END AS url, text AS title FROM documents),
+    v AS (SELECT * FROM (SELECT catalog_id, n, {_strip('id')} AS id, {_strip('url')} AS url, {_strip('title')} AS title FROM i) WHERE id <> '' AND url <> '' AND title <> ''), k AS (SELECT *, row_number() OVER (PARTITION BY catalog_id, id ORDER BY n) AS k FROM v)
     SELECT catalog_id, id AS stable_id, url, title, (row_number() OVER (PARTITION BY catalog_id ORDER BY n) - 1)::INTEGER AS position FROM k WHERE k = 1"""
 )
 def bootstrap_catalog(spark, d):
     i = F.col("doc_id")
     name = F.concat(F.lit("id"), (i % 10).cast("string"), F.lit("-"), (F.expr("doc_id div 10") % 60).cast("string"))
-    items = table(spark, d, "documents").select((i % 10).alias("catalog_id"), i.alias("n"), F.when(i % 13 == 0, " ").otherwise(name).alias("id"), F.when(i % 17 == 0, None).otherwise(F.concat(F.lit("u"), i.cast("string"))).alias("url"), F.substring("text", 1, 20).alias("title"), F.lit(None).cast("string").alias("summary"))
+    items = table(spark, d, "documents").select((i % 10).alias("catalog_id"), i.alias("n"), F.when(i % 13 == 0, " ").otherwise(name).alias("id"), F.when(i % 17 == 0, None).otherwise(F.concat(F.lit("u"), i.cast("string"))).alias("url"), F.col("text").alias("title"), F.lit(None).cast("string").alias("summary"))
     return catalog.bootstrap(items, now()).select("catalog_id", "stable_id", "url", "title", "position")
 
 
@@ -672,17 +704,17 @@ def parse_json_feed(spark, d):
 
 
 _VIEWS = """v AS (SELECT (doc_id % 25)::VARCHAR AS feed_id, fmt, (doc_id // 25)::INTEGER AS idx, CASE WHEN doc_id % 37 = 5 THEN '' WHEN doc_id % 41 = 6 AND fmt = 'rss' THEN 'x' ELSE 'id' || (CASE WHEN doc_id % 29 = 3 THEN doc_id - 25 ELSE doc_id END) END AS item_id,
-    CASE WHEN doc_id % 43 = 7 THEN ' ' ELSE substr(text, 1, 20) END AS title, 'u' || doc_id AS url, CASE WHEN doc_id % 47 = 8 THEN '' WHEN doc_id % 53 = 9 THEN substr(text, 1, 405) WHEN doc_id % 59 = 10 AND fmt = 'atom' THEN 'other' ELSE substr(text, 1, 30) END AS summary
+    CASE WHEN doc_id % 43 = 7 THEN ' ' ELSE text END AS title, 'u' || doc_id AS url, CASE WHEN doc_id % 47 = 8 THEN '' WHEN doc_id % 53 = 9 THEN text WHEN doc_id % 59 = 10 AND fmt = 'atom' THEN 'other' ELSE text END AS summary
     FROM documents, (SELECT unnest(['rss', 'atom', 'json']) AS fmt) WHERE NOT (fmt = 'json' AND doc_id % 25 = 3 AND doc_id // 25 = 1))"""
 
 
 def views(spark, d):
     fmt = F.explode(F.array(*map(F.lit, ("rss", "atom", "json")))).alias("fmt")
     rows = table(spark, d, "documents").select("doc_id", "text", fmt).where("not (fmt = 'json' and doc_id % 25 = 3 and doc_id div 25 = 1)")
-    summary = F.expr("CASE WHEN doc_id % 47 = 8 THEN '' WHEN doc_id % 53 = 9 THEN substr(text, 1, 405) WHEN doc_id % 59 = 10 AND fmt = 'atom' THEN 'other' ELSE substr(text, 1, 30) END")
+    summary = F.expr("CASE WHEN doc_id % 47 = 8 THEN '' WHEN doc_id % 53 = 9 THEN text WHEN doc_id % 59 = 10 AND fmt = 'atom' THEN 'other' ELSE text END")
     return rows.select(
         (F.col("doc_id") % 25).cast("string").alias("feed_id"), "fmt", F.expr("cast(doc_id div 25 as int)").alias("idx"), F.expr("CASE WHEN doc_id % 37 = 5 THEN '' WHEN doc_id % 41 = 6 AND fmt = 'rss' THEN 'x' ELSE concat('id', cast(CASE WHEN doc_id % 29 = 3 THEN doc_id - 25 ELSE doc_id END as string)) END").alias("item_id"),
-        F.expr("CASE WHEN doc_id % 43 = 7 THEN ' ' ELSE substr(text, 1, 20) END").alias("title"), F.expr("concat('u', doc_id)").alias("url"), summary.alias("summary"),
+        F.expr("CASE WHEN doc_id % 43 = 7 THEN ' ' ELSE text END").alias("title"), F.expr("concat('u', doc_id)").alias("url"), summary.alias("summary"),
     ).withColumn("content_text", F.when(F.col("idx") % 5 == 4, None).otherwise(F.col("summary")))
 
 
@@ -797,9 +829,9 @@ def manifest_check(spark, d):
     return publish.manifest_faults(p.select("path", "sha256"), p.where("cast(path as bigint) % 50 <> 7").select("path", F.col("now").alias("sha256"))).select("path")
 
 
-@query("WITH l AS (SELECT conv_id, CASE WHEN turn % 3 = 0 THEN 'WARNING link failed: ' || substr(text, 1, 20) ELSE 'info' END AS line FROM conversations) SELECT conv_id, count(*) FILTER (starts_with(line, 'WARNING link failed: ')) AS failed FROM l GROUP BY conv_id")
+@query("WITH l AS (SELECT conv_id, CASE WHEN turn % 3 = 0 THEN 'WARNING link failed: ' || text ELSE 'info' END AS line FROM conversations) SELECT conv_id, count(*) FILTER (starts_with(line, 'WARNING link failed: ')) AS failed FROM l GROUP BY conv_id")
 def probe_log(spark, d):
-    line = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("WARNING link failed: "), F.replace(F.substring("text", 1, 20), F.lit("\n"), F.lit(" ")))).otherwise("info")
+    line = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("WARNING link failed: "), F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))).otherwise("info")
     from crawlcat.operators import publish
 
     logs = table(spark, d, "conversations").select("conv_id", line.alias("line")).groupBy("conv_id").agg(F.array_join(F.collect_list("line"), "\n").alias("log"))

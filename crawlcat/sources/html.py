@@ -7,10 +7,11 @@ Each page is parsed once in an Arrow stage; everything that follows the parse
 from __future__ import annotations
 
 import re
+import unicodedata
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlcat.config import HostPolicy, Thresholds
 from crawlcat.functions import text as t
@@ -27,6 +28,8 @@ CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search"
 CHROME_NAMES = re.compile(r"(?:\bnav\b|footer|header|promo|subscribe|sidebar|cookie|banner|menu|newsletter|site-nav|topbar|yc-promo)", re.I)
 SCOPES = {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "li"}
 MARKER = "/the-reddits-2.gif"
+#: Pages whose rows are put together at once.
+PAGES = 64
 
 
 class Node:
@@ -87,7 +90,7 @@ def tree(html: str) -> Node:
 
 
 def squeezed(s: str) -> str:
-    return " ".join(re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", s).split())
+    return " ".join(re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", unicodedata.normalize("NFC", s)).split())
 
 
 def text_of(node: Node) -> str:
@@ -136,7 +139,7 @@ def metas(root: Node) -> tuple[dict[str, str], str | None, str]:
         if isinstance(n, str):
             continue
         if n.tag == "meta":
-            key, said = (n.attributes.get("name") or n.attributes.get("property") or "").strip().lower(), n.attributes.get("content", "").strip()
+            key, said = (n.attributes.get("name") or n.attributes.get("property") or "").strip().lower(), unicodedata.normalize("NFC", n.attributes.get("content", "")).strip()
             if key and said:
                 found.setdefault(key, said)
         elif n.tag == "link" and canonical is None and "canonical" in n.attributes.get("rel", "").lower().split():
@@ -185,62 +188,84 @@ def anchors(root: Node, marker: str = MARKER) -> list[tuple[str, str, bool]]:
     return out
 
 
-def page_anchors(pages: DataFrame, page_id: str = "page_id", html: str = "html", marker: str = MARKER) -> DataFrame:
-    """(page id, source_index, href, title, marked) of every anchor."""
+def page_anchors(pages: DataFrame, page_id: str = "page_id", html: str = "html", *keep: str, marker: str = MARKER) -> DataFrame:
+    """(page id, columns in ``keep``, source_index, href, title, marked) of every anchor."""
+    names = [page_id, *keep, "source_index", "href", "title", "marked"]
 
     def rows(batches):
         for batch in batches:
-            for i, h in zip(batch.column(0), batch.column(1)):
-                found = anchors(tree(h.as_py() or ""), marker)
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(found), batch.schema.field(0).type), pa.array(range(len(found)), pa.int32()), *(pa.array(c, k) for c, k in zip(zip(*found), (pa.string(), pa.string(), pa.bool_())))], [page_id, "source_index", "href", "title", "marked"])
+            for lo in range(0, batch.num_rows, PAGES):
+                part = batch.slice(lo, PAGES)
+                out, source = [], []
+                for row, h in enumerate(part.column(part.num_columns - 1)):
+                    found = anchors(tree(h.as_py() or ""), marker)
+                    out += [(k, *a) for k, a in enumerate(found)]
+                    source += [row] * len(found)
+                kinds = (pa.int32(), pa.string(), pa.string(), pa.bool_())
+                own = [pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 4, kinds)]
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(source, pa.int64())) for c in part.columns[:-1]), *own], names)
 
-    kind = pages.schema[page_id].dataType.simpleString()
-    return pages.select(page_id, html).mapInArrow(rows, f"{page_id} {kind}, source_index int, href string, title string, marked boolean")
+    kept = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in (page_id, *keep))
+    return pages.select(page_id, *keep, html).mapInArrow(rows, f"{kept}source_index int, href string, title string, marked boolean")
 
 
-def parsed(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """(page id, title, metas, canonical, paragraphs, loose) in one parse a page."""
+def parsed(pages: DataFrame, page_id: str = "page_id", html: str = "html", *keep: str) -> DataFrame:
+    """(page id, columns in ``keep``, title, metas, canonical, paragraphs, loose) in one parse a page; repeated and null ids are answered each."""
+    names = [page_id, *keep, "title", "metas", "canonical", "paragraphs", "loose"]
 
     def rows(batches):
         for batch in batches:
-            for i, h in zip(batch.column(0), batch.column(1)):
-                root = tree(h.as_py() or "")
-                found, canonical, title = metas(root)
-                paragraphs, loose = content(root)
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((i.as_py(), title, list(found.items()), canonical, paragraphs, loose), (batch.schema.field(0).type, pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.list_(pa.string()), pa.string()))], [page_id, "title", "metas", "canonical", "paragraphs", "loose"])
+            for lo in range(0, batch.num_rows, PAGES):
+                part = batch.slice(lo, PAGES)
+                out = []
+                for h in part.column(part.num_columns - 1):
+                    root = tree(h.as_py() or "")
+                    found, canonical, title = metas(root)
+                    out.append((title, list(found.items()), canonical, *content(root)))
+                kinds = (pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.list_(pa.string()), pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names)
 
-    kind = pages.schema[page_id].dataType.simpleString()
-    return pages.select(page_id, html).mapInArrow(rows, f"{page_id} {kind}, title string, metas map<string,string>, canonical string, paragraphs array<string>, loose string")
+    kept = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in (page_id, *keep))
+    return pages.select(page_id, *keep, html).mapInArrow(rows, f"{kept}title string, metas map<string,string>, canonical string, paragraphs array<string>, loose string")
 
 
-def first_paragraph(limits: Thresholds = Thresholds()):
-    """The first paragraph that says something, else sentences of the loose text past its title and promotion."""
-    least = limits.min_paragraph_chars
-    good = F.filter("paragraphs", lambda p: (F.length(p) >= least) & ~t.is_promo(p))
-    body = F.when((F.col("title") != "") & F.col("loose").startswith(F.col("title")), F.trim(F.expr("substring(loose, length(title) + 1)"))).otherwise(F.col("loose"))
-    sentences = F.split(F.substring(body, 1, limits.max_scan_chars), r"(?<=[.!?])\s+")
-    said = F.aggregate(sentences, F.lit(""), lambda acc, s: F.when((F.length(acc) >= least) | ((acc == "") & t.is_promo(s)), acc).when(acc == "", s).otherwise(F.concat(acc, F.lit(" "), s)))
-    return F.coalesce(F.get(good, 0), F.nullif(said, F.lit("")))
+def _lead(s: Column, marks: str) -> Column:
+    return F.regexp_replace(s, rf"^[{re.escape(marks)}]+", "")
 
 
-def metadata(pages: DataFrame, policy: HostPolicy, limits: Thresholds = Thresholds(), page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Metadata of each page: summary by precedence (meta, og, twitter, paragraph), hint, quality, image, keywords, canonical."""
-    p = parsed(pages, page_id, html).join(pages.select(page_id, url), page_id)
-    meta = lambda k: F.nullif(t.normalized(F.try_element_at("metas", F.lit(k)), compose=False), F.lit(""))
+def first_paragraph(limits: Thresholds = Thresholds()) -> Column:
+    """The first paragraph that says something; else sentences of the loose text past the page's title, promotion at its start left out."""
+    least = limits.min_paragraph_chars
+    good = F.filter("paragraphs", lambda p: (F.length(p) >= least) & ~t.is_promo(p))
+    body = F.when((F.col("title") != "") & F.col("loose").startswith(F.col("title")), _lead(F.expr("substring(loose, length(title) + 1)"), " -|:")).otherwise(F.col("loose"))
+    sentences = F.filter(F.transform(F.split(body, r"(?<=[.!?])\s+"), t.trimmed), lambda s: s != "")
+    kept = F.aggregate(sentences, F.lit(""), lambda acc, s: F.when((F.length(acc) >= least) | ((acc == "") & t.is_promo(s)), acc).when(acc == "", s).otherwise(F.concat(acc, F.lit(" "), s)))
+    # Nothing but promotion: what follows it, if it stands near the start.
+    early = rf"(?is)^.{{0,39}}?{t.PROMO.removeprefix('(?i)')}(.*)$"
+    behind = F.when(body.rlike(early), F.nullif(_lead(F.regexp_extract(body, early, 2), " .-|:"), F.lit("")))
+    said = F.when(kept == "", body).otherwise(kept)
+    said = F.when((F.length(kept) < least) & t.is_promo(said), F.coalesce(behind, body)).otherwise(said)
+    return F.coalesce(F.get(good, 0), F.nullif(F.substring(said, 1, limits.max_scan_chars), F.lit("")))
+
+
+def metadata(pages: DataFrame, policy: HostPolicy, limits: Thresholds = Thresholds(), page_id: str = "page_id", url: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Metadata of each page: summary by precedence (meta, og, twitter, paragraph), hint, quality, image, keywords, canonical; and the columns in ``keep``."""
+    p = parsed(pages, page_id, html, url, *keep)
+    meta = lambda k: F.nullif(t.normalized(F.try_element_at("metas", F.lit(k)), compose=False), F.lit(""))  # noqa: E731  composed by the parser
     named = {"meta_description": meta("description"), "og_description": meta("og:description"), "twitter_description": meta("twitter:description"), "content_paragraph": first_paragraph(limits)}
-    cut = lambda c: t.truncated(c, limits.summary_chars)
-    p = p.withColumns({f"s_{k}": cut(v) for k, v in named.items()})
+    cut = lambda c: F.nullif(t.truncated(c, limits.summary_chars), F.lit(""))
+    p = p.withColumns({f"w_{k}": v for k, v in named.items()})
+    p = p.withColumns({f"s_{k}": cut(F.col(f"w_{k}")) for k in named})
     summary = F.coalesce(*(F.col(f"s_{k}") for k in named))
     source = F.coalesce(*(F.when(F.col(f"s_{k}").isNotNull(), k) for k in named))
     score, flags = t.summary_quality(F.col("summary"))
-    p = p.withColumns({"i_og": meta("og:image"), "i_twitter": meta("twitter:image")})
-    p = p.withColumns({k: urls.resolve(F.col(url), F.col(k)) for k in ("i_og", "i_twitter")})
-    image = lambda k: urls.image_or_null(F.col(k), policy)
-    hint = t.published_hint(F.array_join(F.col("paragraphs"), " "), F.col("loose"), within=limits.hint_chars)
+    # The first of the two images decides, allowed or not.
+    p = p.withColumn("i_page", urls.resolve(F.col(url), F.coalesce(meta("og:image"), meta("twitter:image"))))
+    early = F.concat_ws(" ", F.slice("paragraphs", 1, 8), F.nullif("loose", F.lit("")))
+    hint = t.published_hint(early, *(F.col(f"w_{k}") for k in ("content_paragraph", "meta_description", "og_description")), within=limits.hint_chars)
     out = p.withColumns({"summary": summary, "summary_source": source, "hint": hint})
     return out.select(
-        page_id, cut(F.nullif(F.col("title"), F.lit(""))).alias("page_title"), F.col("s_meta_description").alias("meta_description"), cut(meta("og:title")).alias("og_title"), F.col("s_og_description").alias("og_description"),
+        page_id, *keep, cut(F.nullif(F.col("title"), F.lit(""))).alias("page_title"), F.col("s_meta_description").alias("meta_description"), cut(meta("og:title")).alias("og_title"), F.col("s_og_description").alias("og_description"),
         urls.resolve(F.col(url), F.col("canonical")).alias("canonical_url"), F.col("hint").alias("published_hint"), "summary", "summary_source", score.alias("quality_score"), flags.alias("quality_flags"),
-        F.coalesce(image("i_og"), image("i_twitter")).alias("image_url"), F.coalesce(meta("keywords"), meta("news_keywords")).alias("keywords"),
+        urls.image_or_null(F.col("i_page"), policy).alias("image_url"), F.coalesce(meta("keywords"), meta("news_keywords")).alias("keywords"),
     )

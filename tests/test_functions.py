@@ -92,6 +92,50 @@ def test_page_metadata(spark):
     assert got[3]["summary"].startswith("Loose words") and got[4]["summary"] is None
 
 
+def test_page_metadata_by_its_rules(spark):
+    long = "A paragraph that has enough characters to count as said, number {}."
+    pages = [
+        (1, "https://example.com/a", f'<title>Head</title><body>Head -|: Subscribe now! Short one. Then more words.'),
+        (2, "https://example.com/a", "<body>Want to start a startup? Tiny."),
+        (3, "https://example.com/a", '<meta property="og:image" content="http://evil.test/i.png"><meta name="twitter:image" content="https://example.com/t.png"><meta name="description" content="Posted in May 1999.">'),
+        (4, "https://example.com/a", '<meta name="twitter:image" content="t.png"><meta name="description" content="Cafe\u0301\u00a0 au  lait"><meta name="news_keywords" content=" a,\n b ">'),
+        (5, "https://example.com/a", "".join(f"<p>Paragraph {k}.</p>" for k in range(8)) + "<p>March 2003 in the ninth paragraph, which the hint doesn't look at.</p>loose April 2004"),
+        (6, "https://example.com/a", "<body>" + "x" * 3_000), (6, "https://example.com/b", "<p>" + long.format(6)), (None, None, "<p>" + long.format(7)), (8, "https://example.com/a", ""),
+        (9, "https://example.com/a", '<meta property="og:description" content="Said in June 2010"><p>Subscribe here'),
+    ]
+    frame = spark.createDataFrame(pages, "page_id int, url string, html string")
+    rows = html.metadata(frame, POLICY).collect()
+    assert len(rows) == len(pages)
+    got = {r["page_id"]: r for r in rows}
+    assert got[1]["summary"] == "Short one. Then more words." and got[2]["summary"] == "Tiny."
+    assert got[3]["image_url"] is None and got[3]["published_hint"] == "May 1999" and got[4]["image_url"] == "https://example.com/t.png"
+    assert got[4]["summary"] == "Caf\u00e9 au lait" and got[4]["keywords"] == "a, b" and got[5]["published_hint"] == "April 2004"
+    assert sorted(len(r["summary"]) for r in rows if r["page_id"] == 6) == [len(long.format(6)), 400] and got[None]["summary"] == long.format(7) and got[8]["summary"] is None
+    assert got[9]["published_hint"] == "June 2010"
+    paragraph = html.parsed(frame.where("page_id = 6 and url like '%a'")).select(html.first_paragraph().alias("p")).head()["p"]
+    assert len(paragraph) == 2_000
+    words = spark.createDataFrame([("\t\u00a0 \n",), (" a\u00a0",), ("e\u0301\u1161\u212b",), (None,), ("plain é",)], "s string").select(text.non_empty(F.col("s")).alias("e"), text.nfc(F.col("s")).alias("n")).collect()
+    assert [w["e"] for w in words] == [None, "a", "e\u0301\u1161\u212b", None, "plain é"] and words[2]["n"] == "é\u1161\u00c5" and words[4]["n"] == "plain é" and words[3]["n"] is None
+
+
+def test_marked_anchors_decide_if_they_are_enough(spark):
+    from crawlcat.operators import discovery
+
+    mark = f'<img src="i{html.MARKER}">'
+    body = lambda k: "<ul>" + "".join(f"<li>{mark if marked else ''}<a href='{href}'>{title}</a></li>" for href, title, marked in k) + "</ul>"
+    pages = [(1, body([("/a", "A", False), ("/b", "B", True), ("/c", "C", True), ("/b", "B2", True), ("/", "home", True), ("/d", "D", False)])), (2, body([("/a", "A", True), ("/a", "A", False), ("/b", "B", False), ("http://x.test/", "x", False)])), (3, body([("/", "home", True)]))]
+    anchors = html.page_anchors(spark.createDataFrame([(i, "https://example.com/", h) for i, h in pages], "index_id int, base_url string, html string"), "index_id", "html", "base_url")
+    for fallback in (True, False):
+        found, report = discovery.discover(anchors, POLICY, 2, fallback)
+        said = {r["index_id"]: tuple(r)[1:6] for r in report.collect()}
+        items = sorted((r["index_id"], r["position"], r["title"]) for r in found.collect())
+        assert said[1] == ("marker", 4, 2, 1, 1) and items[:2] == [(1, 1, "B"), (1, 2, "C")]
+        assert said[2] == (("fallback", 1, 2, 1, 1) if fallback else ("none", 1, 0, 0, 0)) and items[2:] == ([(2, 1, "A"), (2, 2, "B")] if fallback else [])
+        assert said[3][:3] == ("fallback" if fallback else "none", 1, 0)
+    plan = discovery.discover(anchors, POLICY, 2, True)[1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") <= 3
+
+
 def index(n, marker=html.MARKER):
     return "<table>" + "".join(f'<tr><td><img src="i{marker}"></td><td></td></tr><tr><td><img src="i{marker}"><a href="essay-{k}.html">Essay {k}</a></td></tr>' for k in range(n)) + "</table>"
 
