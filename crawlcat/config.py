@@ -58,9 +58,31 @@ class FeedIdentity:
     feed_id: str = "tag:example.com,2026:feed"
     feed_id_simple: str = "tag:example.com,2026:feed:simple"
     generator: str = "crawlcat/0.1"
+    language: str = "en-US"
+    category: str = "Pages"
+    ttl_minutes: int = 1440
     meta_key: str = "_catalog"
 
 
+class ConfigurationError(ValueError):
+    """Settings that can't be used."""
+
+
+def _require_url(name: str, said: str, plain: bool) -> None:
+    """An absolute address without user information; ``http`` only where ``plain`` says so or on this machine."""
+    from urllib.parse import urlsplit
+
+    u = urlsplit(said)
+    if u.scheme not in ("https", "http"):
+        raise ConfigurationError(f"{name} must use https: {said!r}")
+    if u.username or u.password:
+        raise ConfigurationError(f"{name} must not hold user information")
+    if not u.hostname:
+        raise ConfigurationError(f"{name} must be absolute: {said!r}")
+    if u.scheme == "http" and not plain and u.hostname not in ("localhost", "127.0.0.1", "::1"):
+        raise ConfigurationError(f"{name} must use https: {said!r}")
+
+
 @dataclass(frozen=True)
 class Settings:
     policy: HostPolicy = field(default_factory=HostPolicy)
@@ -70,8 +92,22 @@ class Settings:
     force: bool = False
     max_page_fetches: int | None = None
     max_link_validations: int | None = None
+    validate_links: bool = False
     public_base_url: str | None = None
     feed_json_url: str | None = None
+    source_url: str = "https://example.com/articles.html"
+    timeout: float = 15.0
+    retries: int = 3
+    host_gap: float = 0.5
+    #: Folder of the catalog's tables, on any store that the cluster shares; beside the feeds where it is unset.
+    tables: str | None = None
+
+    def __post_init__(self):
+        if self.public_base_url is not None and not self.public_base_url.strip():
+            object.__setattr__(self, "public_base_url", None)
+        for name, local in (("source_url", True), ("public_base_url", False)):
+            if (said := getattr(self, name)) is not None:
+                _require_url(name, said.strip(), local)
 
     def fingerprint(self) -> str:
         """Sixteen hex digits over the settings that change what is published."""

@@ -88,41 +88,56 @@ def merge(catalog: DataFrame, evidence: DataFrame, now: Column, t: Thresholds =
     """Entries after a round of fetches.
 
     ``evidence`` has catalog_id, stable_id, status (null: no answer), summary,
-    published_hint, published_at, etag, raw_sha256.  No row: the entry stays.
-    A failure moves attempt clocks and the backoff only; 304 moves the success
-    clocks; 200 replaces the page's evidence and applies the summary rules: a
-    good new summary also becomes the last good one, and the last good one
-    stands in for a missing or damaged new one.
+    published_hint, published_at, etag, raw_sha256 and, if there are any,
+    last_modified, decoded_sha256, selected_encoding, error_kind and
+    error_message; a row with an error_kind is a failure whatever its status.
+    No row: the entry stays.  A failure moves attempt and answer clocks and the
+    backoff only, and keeps its reason; 304 moves the success clocks and keeps
+    validators that it doesn't repeat; 200 replaces the page's evidence and
+    applies the summary rules: a good new summary also becomes the last good
+    one, and the last good one stands in for a missing or damaged new one.
+    Columns that the catalog lacks are left out.
     """
-    e = evidence.select(*KEY, "status", *(F.col(c).alias(f"n_{c}") for c in ("summary", "published_hint", "published_at", "etag", "raw_sha256")), F.lit(True).alias("seen"))
+    names = ("summary", "published_hint", "published_at", "etag", "raw_sha256", "last_modified", "decoded_sha256", "selected_encoding", "error_kind", "error_message")
+    e = evidence.select(*KEY, "status", *((F.col(c) if c in evidence.columns else F.lit(None).cast("string")).alias(f"n_{c}") for c in names), F.lit(True).alias("seen"))
     j = catalog.join(e, KEY, "left")
-    old = F.col
-    ok, same = F.col("seen") & F.coalesce(F.col("status").between(200, 299), F.lit(False)), F.col("seen") & F.coalesce(F.col("status") == 304, F.lit(False))
-    failed = F.col("seen") & ~ok & ~same
-    new = text.non_empty(F.col("n_summary"))
-    damaged = F.coalesce(new.contains(text.REPLACEMENT), F.lit(False))
-    good = F.when((new.isNotNull() & ~damaged) | (old("prior_good_summary").isNull() & new.isNotNull()), new).otherwise(old("prior_good_summary"))
+    old = lambda c: F.col(c) if c in catalog.columns else F.lit(None)
+    sound = F.coalesce(F.col("seen"), F.lit(False)) & F.col("n_error_kind").isNull()
+    # In stages, so that what is used often is worked out once.
+    j = j.withColumns({"m_ok": sound & F.coalesce(F.col("status").between(200, 299), F.lit(False)), "m_same": sound & F.coalesce(F.col("status") == 304, F.lit(False)), "m_new": text.non_empty(F.col("n_summary"))})
+    ok, same, new = F.col("m_ok"), F.col("m_same"), F.col("m_new")
+    j = j.withColumns({"m_failed": F.coalesce(F.col("seen"), F.lit(False)) & ~ok & ~same, "m_damaged": F.coalesce(new.contains(text.REPLACEMENT), F.lit(False))})
+    failed, damaged = F.col("m_failed"), F.col("m_damaged")
+    j = j.withColumn("m_good", F.when((new.isNotNull() & ~damaged) | (old("prior_good_summary").isNull() & new.isNotNull()), new).otherwise(old("prior_good_summary")))
+    good = F.col("m_good")
     good_clean = good.isNotNull() & ~F.coalesce(good.contains(text.REPLACEMENT), F.lit(False))
-    effective = F.when(new.isNull() & good.isNotNull(), good).when(damaged & good_clean, good).otherwise(new)
+    j = j.withColumn("m_effective", F.when(new.isNull() & good.isNotNull(), good).when(damaged & good_clean, good).otherwise(new))
+    effective = F.col("m_effective")
     material = (F.coalesce(effective, F.lit("")) != F.coalesce(old("summary"), F.lit(""))) | ~F.col("n_published_hint").eqNullSafe(old("published_hint")) | ~F.col("n_published_at").eqNullSafe(old("published_at"))
     failures = F.coalesce(old("failure_count"), F.lit(0)) + 1
-    pick = lambda on_ok, on_same, on_failed, name: F.when(ok, on_ok).when(same, on_same).when(failed, on_failed).otherwise(old(name)).alias(name)
-    changed = {
-        "summary": pick(effective, old("summary"), old("summary"), "summary"),
-        "prior_good_summary": pick(good, old("prior_good_summary"), old("prior_good_summary"), "prior_good_summary"),
-        "summary_source": pick(F.when(new.isNotNull(), F.lit("page")).otherwise(old("summary_source")), old("summary_source"), old("summary_source"), "summary_source"),
-        "summary_quality": pick(text.coarse_quality(effective), old("summary_quality"), old("summary_quality"), "summary_quality"),
-        "published_hint": pick(F.coalesce("n_published_hint", old("published_hint")), old("published_hint"), old("published_hint"), "published_hint"),
-        "published_at": pick(F.coalesce("n_published_at", old("published_at")), old("published_at"), old("published_at"), "published_at"),
-        "observed_updated_at": pick(F.when(material, now).otherwise(old("observed_updated_at")), old("observed_updated_at"), old("observed_updated_at"), "observed_updated_at"),
-        "etag": pick(old("n_etag"), old("etag"), old("etag"), "etag"),
-        "raw_sha256": pick(old("n_raw_sha256"), old("raw_sha256"), old("raw_sha256"), "raw_sha256"),
-        "last_success_at": pick(now, now, old("last_success_at"), "last_success_at"),
-        "last_attempted_at": pick(now, now, now, "last_attempted_at"),
-        "failure_count": pick(F.lit(0), F.lit(0), failures, "failure_count"),
-        "next_retry_at": pick(F.lit(None).cast("timestamp"), F.lit(None).cast("timestamp"), now + F.make_dt_interval(hours=backoff_hours(failures, t)), "next_retry_at"),
-    }
-    return j.select(*(changed.get(c, F.col(c)) for c in catalog.columns))
+    none = F.lit(None)
+    n = lambda c: F.col(f"n_{c}")
+    kept = lambda c: F.coalesce(n(c), old(c))
+    reason = F.coalesce(n("error_kind"), F.when(F.col("status").isNull(), "missing_evidence").otherwise("status"))
+    said = F.coalesce(n("error_message"), F.when(F.col("status").isNull(), "no answer").otherwise(F.concat(F.lit("HTTP "), F.col("status").cast("string"))))
+    # By column: what a 200, a 304 and a failure make of it; None: the old value.
+    rules = {
+        "summary": (effective, None, None), "prior_good_summary": (good, None, None), "summary_source": (F.when(new.isNotNull(), F.lit("page")).otherwise(old("summary_source")), None, None),
+        "summary_quality": (text.coarse_quality(effective), None, None), "published_hint": (kept("published_hint"), None, None), "published_at": (kept("published_at"), None, None),
+        "observed_updated_at": (F.when(material, now).otherwise(old("observed_updated_at")), None, None),
+        "etag": (n("etag"), kept("etag"), None), "last_modified": (n("last_modified"), kept("last_modified"), None),
+        "raw_sha256": (kept("raw_sha256"), None, None), "decoded_sha256": (kept("decoded_sha256"), None, None), "selected_encoding": (n("selected_encoding"), None, None),
+        "last_checked_at": (now, now, None), "last_success_at": (now, now, None), "last_attempted_at": (now, now, now), "last_response_at": (now, now, now),
+        "failure_count": (F.lit(0), F.lit(0), failures), "status_code": (F.col("status"), F.lit(304), F.col("status")), "last_error_kind": (none, none, reason), "last_error_message": (none, none, said),
+        "next_retry_at": (none, none, now + F.make_dt_interval(hours=backoff_hours(failures, t))),
+    }
+
+    def pick(c: str) -> Column:
+        kind = catalog.schema[c].dataType
+        on = [(F.col(c) if v is None else v).cast(kind) for v in rules[c]]
+        return F.when(ok, on[0]).when(same, on[1]).when(failed, on[2]).otherwise(F.col(c)).alias(c)
+
+    return j.select(*(pick(c) if c in rules else F.col(c) for c in catalog.columns))
 
 
 def migrate_resource(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fcntl
 import hashlib
 import json
 import os
@@ -43,6 +44,19 @@ def write_atomic(path: Path, data: bytes) -> None:
         raise
 
 
+def _taken_over(path: Path, stale: float) -> bool:
+    """Whether a lock is gone, or was stale and is gone now; looking and removing are one step among all who wait."""
+    with open(path.with_name(f"{path.name}.guard"), "w") as guard:
+        fcntl.flock(guard, fcntl.LOCK_EX)
+        try:
+            if time.time() - path.stat().st_mtime <= stale:
+                return False
+            path.unlink(missing_ok=True)
+        except FileNotFoundError:
+            pass
+        return True
+
+
 @contextmanager
 def write_lock(path: Path, timeout: float = 120.0, stale: float = 3600.0):
     """An exclusive lock file; one older than ``stale`` seconds is taken over."""
@@ -53,11 +67,7 @@ def write_lock(path: Path, timeout: float = 120.0, stale: float = 3600.0):
             os.close(os.open(path, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
             break
         except FileExistsError:
-            try:
-                if time.time() - path.stat().st_mtime > stale:
-                    path.unlink(missing_ok=True)
-                    continue
-            except FileNotFoundError:
+            if _taken_over(path, stale):
                 continue
             if time.monotonic() - began > timeout:
                 raise TimeoutError(f"{path} is held by another run") from None

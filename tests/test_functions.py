@@ -1,12 +1,15 @@
 """Column functions, sources and a whole run on hand-made inputs."""
 
+import dataclasses
+import datetime as dt
+import json
 from pathlib import Path
 from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
 
-from crawlcat.config import FeedIdentity, HostPolicy, Settings, Thresholds
+from crawlcat.config import ConfigurationError, FeedIdentity, HostPolicy, Settings, Thresholds
 from crawlcat.functions import http, text, urls
 from crawlcat.operators import publish
 from crawlcat.plans import update
@@ -176,6 +179,8 @@ def test_publication_recovers(tmp_path):
 
 
 def test_fetch_follows_permitted_hops_only():
+    seen = []
+
     class Answer:
         def __init__(self, status, headers, body=b""):
             self.status, self.headers, self.body = status, headers, body
@@ -188,13 +193,163 @@ def test_fetch_follows_permitted_hops_only():
             self.answers = list(answers)
 
         def open(self, request, timeout):
+            seen.append(request)
             a = self.answers.pop(0)
             if isinstance(a, Exception):
                 raise a
             return a
 
-    go = lambda *a: fetch.fetch("https://example.com/x", POLICY, opener=Opener(*a), sleep=lambda s: None)
-    assert go(Answer(302, {"Location": "/y"}), Answer(200, {"Content-Type": "text/html"}, b"hi"))[1:4] == ("https://example.com/y", 200, "text/html")
-    assert go(Answer(302, {"Location": "https://evil.test/"}))[7] == "host not allowed"
-    assert go(Answer(503, {}), OSError("gone"), Answer(200, {}, b"ok"))[6] == b"ok"
-    assert go(*[OSError("gone")] * 4)[2] is None and fetch.fetch("http://example.com/", POLICY)[7] == "host not allowed"
+    waits = []
+    client = lambda *a: fetch.Client(POLICY, opener=Opener(*a), sleep=waits.append, chance=lambda: 0.5, now=lambda: dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+    go = lambda *a, **k: fetch.fetch("https://example.com/x", client(*a), **k)
+    made = go(Answer(302, {"Location": "/y"}), Answer(200, {"Content-Type": "text/html"}, b"hi"))
+    assert (made.final_url, made.hops, made.status, made.content_type, made.body) == ("https://example.com/y", ["https://example.com/x"], 200, "text/html", b"hi")
+    assert go(Answer(302, {"Location": "https://evil.test/"})).error_kind == "host" and go(*[Answer(302, {"Location": "/x"})] * 9).error_kind == "redirects"
+    assert go(Answer(503, {}), OSError("gone"), Answer(200, {}, b"ok")).body == b"ok" and waits == [0.2, 0.4]
+    waits.clear()
+    assert go(Answer(429, {"Retry-After": "7"}), Answer(503, {"Retry-After": "Mon, 01 Jan 2024 00:00:30 GMT"}), Answer(503, {"Retry-After": "9999"}), Answer(503, {})).error_message == "HTTP 503" and waits == [7.0, 30.0, 120.0]
+    assert go(*[OSError("gone")] * 4).error_kind == "transport" and fetch.fetch("http://example.com/", client()).error_kind == "host"
+    assert go(Answer(200, {"Content-Length": str(10**9)}, b"x")).error_kind == "size" and go(Answer(404, {})).error_kind == "status"
+    go(Answer(304, {}), etag="e", last_modified="m")
+    assert {k.lower(): v for k, v in seen[-1].header_items()} == {"user-agent": "crawlcat/0.1", "if-none-match": "e", "if-modified-since": "m"}
+    assert fetch.probe("https://example.com/x", client(Answer(405, {}), Answer(200, {}))) is None and [r.get_method() for r in seen[-2:]] == ["HEAD", "GET"]
+    assert fetch.probe("https://example.com/x", client(Answer(404, {}))) == "https://example.com/x → HTTP 404"
+
+
+class Site:
+    """A site by path, for runs in one process."""
+
+    def __init__(self):
+        self.pages, self.asked = {}, []
+
+    def open(self, request, timeout):
+        import email.message
+
+        path = request.full_url.removeprefix("https://example.com")
+        self.asked.append((request.get_method(), path))
+        body = self.pages.get(path)
+        tag = f'"{len(body)}"' if body is not None else None
+
+        class Answer:
+            status = 404 if body is None else 304 if request.get_header("If-none-match") == tag else 200
+            headers = email.message.Message()
+
+            def read(self, n):
+                return (body or b"")[:n] if self.status == 200 else b""
+
+        Answer.headers["Content-Type"] = "text/html; charset=utf-8"
+        if tag:
+            Answer.headers["ETag"] = tag
+        return Answer()
+
+
+def test_live_runs_go_round_and_ask_conditionally(spark, tmp_path, monkeypatch):
+    """The live source runs in this process here: its rows are made by the same functions, beside Spark's workers."""
+    site, root = Site(), Path(tmp_path)
+    site.pages = {"/articles.html": index(6).encode()} | {f"/essay-{k}.html": f"<p>Paragraph number {k}, long enough to be the summary of its page.</p>".encode() for k in range(5)}
+    client = fetch.Client(POLICY, opener=site, sleep=lambda s: None, gap=0)
+    here = lambda links, ask, schema: spark.createDataFrame([tuple(ask(*r)) for r in links.collect()], schema)
+    monkeypatch.setattr(fetch, "fetch_pages", lambda links, c: here(links.select("url", "etag", "last_modified"), lambda *r: fetch.fetch(r[0], c, *r[1:]), fetch.SCHEMA))
+    monkeypatch.setattr(fetch, "probe_links", lambda links, c: here(links.select("url"), lambda u: (u, fetch.probe(u, c)), "url string, failure string"))
+    s = Settings(thresholds=Thresholds(min_items=5), max_page_fetches=2, validate_links=True, max_link_validations=3, public_base_url="https://feeds.example.com/x/")
+    go = lambda day, **k: update.update(spark, root, None, "https://example.com/", f"2024-01-{day:02d} 00:00:00", k.pop("settings", s), live=True, client=client, **k)
+    served = lambda: [p for m, p in site.asked if m == "GET" and "essay" in p]
+    first = go(1)
+    assert first.action == "updated" and first.n_fetched == 2 and first.probes[:2] == (3, 0) and len(served()) == 2
+    one = set(served())
+    site.asked.clear()
+    second = go(2)
+    assert second.n_fetched == 2 and not one & set(served()) and ("GET", "/articles.html") in site.asked
+    site.asked.clear()
+    third = go(3)
+    failed = update.load(spark, root, s).where("failure_count = 1").head()
+    assert third.probes[0] == 3 and failed["url"].endswith("essay-5.html") and (failed["status_code"], failed["last_error_kind"], failed["last_error_message"]) == (404, "status", "HTTP 404")
+    site.pages["/essay-5.html"] = b"<p>The last page has come after all, with a paragraph of its own.</p>"
+    assert go(3).action == "updated"
+    files = {p.name: p.read_bytes() for p in root.glob("*.*")}
+    again = go(3)
+    assert again.action == "unchanged" and {p.name: p.read_bytes() for p in root.glob("*.*")} == files
+    state = json.loads((root / "catalog.json").read_text())
+    assert state["index"]["etag"] and state["index"]["decoded_sha256"] and len(list((root / "catalog").iterdir())) == 2
+    feed = json.loads((root / "feed.simple.json").read_text())
+    assert feed["feed_url"] == "https://feeds.example.com/x/feed.simple.json" and feed["_catalog"]["index_hash"] == state["index"]["decoded_sha256"] and len(feed["_catalog"]["index_fingerprint"]) == 64
+    assert 'href="https://feeds.example.com/x/rss.xml"' in (root / "rss.xml").read_text() and 'href="https://feeds.example.com/x/atom.simple.xml"' in (root / "atom.simple.xml").read_text()
+    stale = dataclasses.replace(s, max_page_fetches=None, validate_links=False, thresholds=Thresholds(min_items=5, freshness_days=1))
+    clocks = go(20, settings=stale)
+    row = update.load(spark, root, s).where("url like '%essay-0.html'").head()
+    assert clocks.action == "state_changed" and row["status_code"] == 304 and row["summary"].startswith("Paragraph number 0") and str(row["last_success_at"]).startswith("2024-01-20") and row["etag"]
+    site.pages.pop("/articles.html")
+    with pytest.raises(update.NetworkError):
+        go(21)
+
+
+def test_first_catalog_from_feeds_old_versions_and_damage(spark, tmp_path):
+    s, root = Settings(thresholds=Thresholds(min_items=5)), Path(tmp_path)
+    update.update(spark, root, index(6), "https://example.com/", "2024-01-01 00:00:00", s)
+    state = json.loads((root / "catalog.json").read_text())
+    old = update.load(spark, root, s).withColumns({"last_checked_at": F.lit("2023-12-01").cast("timestamp"), "status_code": F.when(F.col("position") == 0, 500).otherwise(200)}).collect()
+    spark.createDataFrame(old, update.ENTRY).write.mode("overwrite").parquet(str(root / "catalog" / "v1"))
+    (root / "catalog.json").write_text(json.dumps(state | {"generation": "v1", "version": 1}))
+    rows = {r["position"]: r for r in update.load(spark, root, s).collect()}
+    assert rows[0]["last_success_at"] is None and rows[1]["last_success_at"] == rows[1]["last_checked_at"] == rows[0]["last_attempted_at"]
+    for broken in ("{", "[]", '{"generation": "x"}', '{"generation": "x", "version": 9}'):
+        (root / "catalog.json").write_text(broken)
+        with pytest.raises(update.UpdateError):
+            update.load(spark, root, s)
+    (root / "catalog.json").unlink()
+    done = update.update(spark, root, index(7), "https://example.com/", "2024-02-01 00:00:00", s)
+    assert done.changes == {"unchanged": 6, "added": 1}
+    assert update.update(spark, root, index(7), "https://example.com/", "2024-02-02 00:00:00", s, from_feeds=True).changes == {"unchanged": 7}
+    with pytest.raises(update.UpdateError):
+        update.update(spark, root, index(5).replace("essay-3.html", "https://example.com/https://x.test/"), "https://example.com/", "2024-02-03 00:00:00", s)
+
+
+@pytest.mark.parametrize("wrong", [{"source_url": "ftp://x.test/"}, {"source_url": "https://a:b@x.test/"}, {"source_url": "/x"}, {"public_base_url": "http://x.test/"}])
+def test_settings_refuse_addresses(wrong):
+    with pytest.raises(ConfigurationError):
+        Settings(**wrong)
+    assert Settings(public_base_url=" ").public_base_url is None and Settings(public_base_url="http://localhost/x").public_base_url
+
+
+def test_command_line(spark, tmp_path, monkeypatch):
+    from crawlcat import cli
+
+    env = {"CRAWLCAT_MIN_ITEMS": "7", "CRAWLCAT_ENRICH": "no", "CRAWLCAT_RETRIES": "9"}
+    s = cli.settings(cli.parser().parse_args(["update", "x", "--retries", "1"]), env)
+    assert (s.thresholds.min_items, s.enrich, s.retries) == (7, False, 1)
+    for wrong in ({"CRAWLCAT_MIN_ITEMS": "many"}, {"CRAWLCAT_FORCE": "perhaps"}, {"CRAWLCAT_TIMEOUT": "0"}, {"CRAWLCAT_SOURCE_URL": "x"}):
+        with pytest.raises(ConfigurationError):
+            cli.settings(cli.parser().parse_args(["update", "x"]), wrong)
+    source, out = tmp_path / "index.html", tmp_path / "out"
+    source.write_bytes(index(6).encode())
+    monkeypatch.setenv("GITHUB_OUTPUT", str(tmp_path / "ci"))
+    run = lambda *a: cli.main([*a, "--min-items", "5"])
+    at = ("update", str(out), "--index", str(source), "--base-url", "https://example.com/", "--offline", "--result-file", str(tmp_path / "r"))
+    assert run(*at) == cli.OK and (tmp_path / "ci").read_text() == (tmp_path / "r").read_text() == "action=updated\nitems=6\nchanged=true\n"
+    assert run("check", str(out)) == cli.OK and run(*at, "--max-bytes", "9") == cli.USAGE and cli.main([*at, "--min-items", "50"]) == cli.FAILED
+    (out / "feed.json").write_text("{}")
+    assert run("check", str(out)) == cli.VERIFICATION
+    assert run("update", str(out), "--source-url", "https://127.0.0.1:1/x", "--hosts", "127.0.0.1", "--retries", "0") == cli.NETWORK
+
+
+def test_a_stale_lock_is_taken_over_by_one(tmp_path):
+    import os
+    import threading
+
+    path, held, most = tmp_path / ".lock", [], []
+    path.touch()
+    os.utime(path, (1, 1))
+
+    def one():
+        with publish.write_lock(path, timeout=20):
+            held.append(1)
+            most.append(len(held))
+            held.pop()
+
+    threads = [threading.Thread(target=one) for _ in range(8)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert most == [1] * 8 and not path.exists()
+    path.touch()
+    with pytest.raises(TimeoutError), publish.write_lock(path, timeout=0.1):
+        pass
