@@ -34,7 +34,13 @@ def _composed(x: pd.Series) -> pd.Series:
 
 def nfc(s: Column) -> Column:
     """Composed form; Spark has no function of its own for it, so texts that may change, and only these, go through Python."""
-    return F.coalesce(_composed(F.when(s.rlike(_unsettled()), s)), s)
+    # All characters below the first mark are settled: one range to test before the many.
+    return F.coalesce(_composed(F.when(s.rlike(r"[\x{300}-\x{10FFFF}]") & s.rlike(_unsettled()), s)), s)
+
+
+def blank(s: Column) -> Column:
+    """Whether there is nothing but white space; null for null."""
+    return ~s.rlike(f"[^{SPACE[1:-2]}]")
 
 
 def trimmed(s: Column) -> Column:
@@ -95,16 +101,16 @@ def _faults(s: Column) -> list[tuple[str, float, Column]]:
 
 def summary_quality(s: Column) -> tuple[Column, Column]:
     """(score in 0 to 1, flags)."""
-    blank = s.isNull() | (F.trim(F.regexp_replace(s, SPACE, " ")) == "")
+    nothing = F.coalesce(blank(s), F.lit(True))
     score, flags = F.lit(1.0), []
     for name, off, fault in _faults(s):
         score = score - F.when(fault, F.lit(off)).otherwise(F.lit(0.0))
         flags.append(F.when(fault, F.lit(name)))
-    return F.when(blank, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))), F.when(blank, F.array(F.lit("empty"))).otherwise(F.array_compact(F.array(*flags)))
+    return F.when(nothing, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))), F.when(nothing, F.array(F.lit("empty"))).otherwise(F.array_compact(F.array(*flags)))
 
 
 def coarse_quality(s: Column) -> Column:
-    return F.when(non_empty(s).isNull(), F.lit(None).cast("double")).when(s.contains(REPLACEMENT), F.lit(0.35)).otherwise(F.lit(0.9))
+    return F.when(F.coalesce(blank(s), F.lit(True)), F.lit(None).cast("double")).when(s.contains(REPLACEMENT), F.lit(0.35)).otherwise(F.lit(0.9))
 
 
 def is_promo(s: Column) -> Column:

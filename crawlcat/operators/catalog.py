@@ -36,7 +36,7 @@ def reconcile(prior: DataFrame, found: DataFrame, now: Column) -> DataFrame:
 def invariants(entries: DataFrame, order: DataFrame) -> DataFrame:
     """(catalog_id, fault, stable_id) rows: identities in the order but not the entries, the other way round, repeats, blank addresses, shared positions."""
     shared = F.count("*").over(Window.partitionBy("catalog_id", "position")) > 1
-    own = entries.select(*KEY, F.lit(0).alias("ordered"), F.lit(1).alias("entry"), text.non_empty(F.col("url")).isNull().cast("int").alias("blank"), shared.cast("int").alias("shared"))
+    own = entries.select(*KEY, F.lit(0).alias("ordered"), F.lit(1).alias("entry"), F.coalesce(text.blank(F.col("url")), F.lit(True)).cast("int").alias("blank"), shared.cast("int").alias("shared"))
     every = order.select(*KEY, F.lit(1).alias("ordered"), *(F.lit(0).alias(c) for c in ("entry", "blank", "shared"))).unionByName(own)
     n = every.groupBy(*KEY).agg(*(F.sum(c).cast("int").alias(c) for c in ("ordered", "entry", "blank", "shared")))
     times = {

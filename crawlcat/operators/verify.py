@@ -58,7 +58,7 @@ def duplicates(views: DataFrame) -> DataFrame:
 
 
 def field_faults(views: DataFrame, limit: int = 400) -> DataFrame:
-    blank = lambda c: F.trim(F.regexp_replace(c, text.SPACE, " ")) == ""
+    blank = text.blank
     damaged = F.col("title").contains(text.REPLACEMENT) | F.col("summary").contains(text.REPLACEMENT) | F.coalesce(F.col("content_text").contains(text.REPLACEMENT), F.lit(False))
     codes = F.array_compact(
         F.array(
