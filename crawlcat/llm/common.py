@@ -34,17 +34,24 @@ def shared_dir(spark: SparkSession) -> str:
 FILE_ROWS = 50_000
 
 
-def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, rows: int | None = None, under: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder; survives the loss of any executor.
 
     ``rows`` is a bound on its rows where one is known: a small table then
-    comes in few files, however many partitions it is made in.
+    comes in few files, however many partitions it is made in.  ``under`` is a
+    folder from ``shared_dir`` that the caller removes when it is used up.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}"
+    path = f"{under or shared_dir(df.sparkSession)}/{name}"
     (df if rows is None else df.coalesce(max(1, -(-rows // FILE_ROWS)))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of tables that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name`` with underscores before it until no column is called so, whatever the case."""
     taken = {c.lower() for c in columns}

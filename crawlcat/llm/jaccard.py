@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from crawlcat.llm.common import released, unused, written
+from crawlcat.llm.common import released, removed, shared_dir, unused, written
 from crawlcat.llm.components import components
 from crawlcat.llm.decontaminate import words
 from crawlcat.llm.wordids import slices
@@ -186,6 +186,7 @@ def _spanning(linked: np.ndarray) -> np.ndarray:
 def _loose_edges(sets: DataFrame, n_runs: int, n_sets: int | None = None) -> DataFrame:
     """(a, b) of set keys: a spanning set of the loose links of every bucket."""
     n_sets = sets.count() if n_sets is None else n_sets
+    under = shared_dir(sets.sparkSession)
     seeds = mix(np.arange(1, n_runs + 1, dtype=np.uint64) * _M1).view(np.int64)
 
     def first(batches):
@@ -220,7 +221,7 @@ def _loose_edges(sets: DataFrame, n_runs: int, n_sets: int | None = None) -> Dat
     nodes, ready = sets.select("set_key", "sig").mapInArrow(released(first), "bucket long, set_key long"), None
     most = math.ceil(n_sets * n_runs * CHILDREN**FIRST_DEPTH * 1.1)
     for depth in range(FIRST_DEPTH, DEPTH + 1):
-        nodes = written(nodes, f"nodes_{depth}", most)
+        nodes = written(nodes, f"nodes_{depth}", most, under)
         most = nodes.count() * 2  # children of each, on the average 1.6
         pivots = F.array_distinct(F.array(*(F.min(F.struct(F.xxhash64("set_key", F.lit(i)), "set_key"))["set_key"] for i in range(PIVOTS))))
         sizes = nodes.groupBy("bucket").agg(F.count("*").alias("size"), pivots.alias("pivots")).where("size > 1")
@@ -238,7 +239,9 @@ def _loose_edges(sets: DataFrame, n_runs: int, n_sets: int | None = None) -> Dat
     dealt = ready.join(sets.select("set_key", "sig"), "set_key").select("bucket", "block", "set_key", "sig").repartition("bucket", "block").sortWithinPartitions("bucket", "block", "set_key")
     edges = written(dealt.mapInArrow(released(linked), "a long, b long").distinct(), "links", most)
     hot = nodes.join(sizes.where(F.col("size") > BLOCK).select("bucket"), "bucket").select("bucket", "set_key")
-    return edges.union(_across(written(hot, "hot", most), sets, edges)).distinct()
+    hot = written(hot, "hot", most)
+    removed(sets.sparkSession, under)  # links and hot buckets are written, so the nodes are used up
+    return edges.union(_across(hot, sets, edges)).distinct()
 
 
 def _across(hot: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
