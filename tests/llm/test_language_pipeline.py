@@ -138,3 +138,23 @@ def test_pipeline_stages(spark, sf_dir):
     key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     assert sorted(map(tuple, pieces.select(*key).collect())) == sorted(map(tuple, whole.select(*key).collect()))
     assert pieces.groupBy("doc_id").agg((F.sum("length") == F.first("doc_tokens")).alias("ok")).where("not ok").count() == 0
+
+
+def test_stages_on_hostile_rows(spark, sf_dir):
+    words = [" ".join(f"wort{chr(97 + k)}{chr(97 + i)}" for i in range(20)) for k in range(4)]
+    secret = "token = 0123456789abcdef0123456789abcdef"
+    rows = [(None, words[0], None), (None, words[1], "de"), (5, words[2], "de"), (5, words[3], "de"), (6, None, "de"), (6, None, "de"), (7, "", None), (8, "?! 12", "de"), (9, f"{words[1]} {words[1]} {secret}", "de"), (9, f"{words[1]} {words[1]} {secret}", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'s' as source", "cast(length(text) as long) as n_chars", "1 as score", "true as rejected", "'x' as key", "2 as spans", "3 as _key", "4 as text_hash", "5 as label", "6 as item_id", "map('a', 7) as first")
+    want = {"language ID": 6, "n-gram Jaccard join": 7, "benchmark decontamination": 10, "secret scans": 10, "packing": None}
+    for name, stage in corpus_pipeline.STAGES:
+        got, none = stage(spark, docs, sf_dir), stage(spark, docs.where("false"), sf_dir)
+        assert none.count() == 0, name
+        if name != "packing":
+            assert got.columns == none.columns == docs.columns and got.count() == want[name], (name, got.count())
+        else:
+            assert got.select("doc_id", "text" if "text" in got.columns else "start").count() >= len(rows) and got.where("doc_id = 6").count() == 2
+        if name == "secret scans":
+            texts = [r["text"] for r in got.where("doc_id = 9").collect()]
+            assert texts == [f"{words[1]} {words[1]} [assign]"] * 2 and got.where("doc_id = 6 and text is null and n_chars is null").count() == 2
+        if name == "n-gram Jaccard join":
+            assert sorted(r["text"] or "" for r in got.collect()) == sorted(["", "?! 12", *words, rows[8][1]])
