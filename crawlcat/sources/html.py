@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -28,6 +29,7 @@ CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search"
 CHROME_NAMES = re.compile(r"(?:\bnav\b|footer|header|promo|subscribe|sidebar|cookie|banner|menu|newsletter|site-nav|topbar|yc-promo)", re.I)
 SCOPES = {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "li"}
 MARKER = "/the-reddits-2.gif"
+AMPERSAND = re.compile(r"&(#[0-9]+;|#[xX][0-9A-Fa-f]+;|[A-Za-z][A-Za-z0-9]*;)?")
 #: Pages whose rows are put together at once.
 PAGES = 64
 
@@ -89,6 +91,11 @@ def tree(html: str) -> Node:
     return b.root
 
 
+def closed_only(html: str) -> str:
+    """The page with every ampersand that begins no reference, or one without its semicolon, as a reference to itself: the parser leaves these as they stand."""
+    return AMPERSAND.sub(lambda m: m[0] if m[1] and (m[1][0] == "#" or m[1] in html5) else f"&amp;{m[1] or ''}", html)
+
+
 def squeezed(s: str) -> str:
     return " ".join(re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", unicodedata.normalize("NFC", s)).split())
 
@@ -209,8 +216,12 @@ def page_anchors(pages: DataFrame, page_id: str = "page_id", html: str = "html",
     return pages.select(page_id, *keep, html).mapInArrow(rows, f"{kept}source_index int, href string, title string, marked boolean")
 
 
-def parsed(pages: DataFrame, page_id: str = "page_id", html: str = "html", *keep: str) -> DataFrame:
-    """(page id, columns in ``keep``, title, metas, canonical, paragraphs, loose) in one parse a page; repeated and null ids are answered each."""
+def parsed(pages: DataFrame, page_id: str = "page_id", html: str = "html", *keep: str, unclosed: bool = True) -> DataFrame:
+    """(page id, columns in ``keep``, title, metas, canonical, paragraphs, loose) in one parse a page; repeated and null ids are answered each.
+
+    References without their semicolon (``&amp`` before a tag) are read as HTML
+    reads them, or left as they stand if not ``unclosed``.
+    """
     names = [page_id, *keep, "title", "metas", "canonical", "paragraphs", "loose"]
 
     def rows(batches):
@@ -219,7 +230,8 @@ def parsed(pages: DataFrame, page_id: str = "page_id", html: str = "html", *keep
                 part = batch.slice(lo, PAGES)
                 out = []
                 for h in part.column(part.num_columns - 1):
-                    root = tree(h.as_py() or "")
+                    page = h.as_py() or ""
+                    root = tree(page if unclosed else closed_only(page))
                     found, canonical, title = metas(root)
                     out.append((title, list(found.items()), canonical, *content(root)))
                 kinds = (pa.string(), pa.map_(pa.string(), pa.string()), pa.string(), pa.list_(pa.string()), pa.string())
@@ -248,9 +260,9 @@ def first_paragraph(limits: Thresholds = Thresholds()) -> Column:
     return F.coalesce(F.get(good, 0), F.nullif(F.substring(said, 1, limits.max_scan_chars), F.lit("")))
 
 
-def metadata(pages: DataFrame, policy: HostPolicy, limits: Thresholds = Thresholds(), page_id: str = "page_id", url: str = "url", html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Metadata of each page: summary by precedence (meta, og, twitter, paragraph), hint, quality, image, keywords, canonical; and the columns in ``keep``."""
-    p = parsed(pages, page_id, html, url, *keep)
+def metadata(pages: DataFrame, policy: HostPolicy, limits: Thresholds = Thresholds(), page_id: str = "page_id", url: str = "url", html: str = "html", keep: tuple[str, ...] = (), unclosed: bool = True) -> DataFrame:
+    """Metadata of each page: summary by precedence (meta, og, twitter, paragraph), hint, quality, image, keywords, canonical; and the columns in ``keep``.  ``unclosed`` is that of ``parsed``."""
+    p = parsed(pages, page_id, html, url, *keep, unclosed=unclosed)
     meta = lambda k: F.nullif(t.normalized(F.try_element_at("metas", F.lit(k)), compose=False), F.lit(""))  # noqa: E731  composed by the parser
     named = {"meta_description": meta("description"), "og_description": meta("og:description"), "twitter_description": meta("twitter:description"), "content_paragraph": first_paragraph(limits)}
     cut = lambda c: F.nullif(t.truncated(c, limits.summary_chars), F.lit(""))

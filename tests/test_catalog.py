@@ -70,3 +70,33 @@ def test_plans_scan_only_what_they_need(spark, sf_dir):
     assert "ReadSchema: struct<page_id:bigint,url:string>" in plan
     plan = q.QUERIES["reconcile_diff"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def cut_pages(spark, folder):
+    """A folder with pages whose titles, headings and texts hold references without their semicolon."""
+    said = ["The&amp;&amp;&amp; end&amp", "a &amp&amp; b &copy", "R&D &am &quot; &quo", "one &amp;lt; two &lt", "AT&ampT &copyx; &;"]
+    page = '<!DOCTYPE html><html><head><title>{0}</title><script>var t="&amp";</script></head><body><nav><a href="/a?b&amp">x</a></nav><div class="ad">{0}</div><article><h1>{0}</h1>{1}</article></body></html>'
+    paragraphs = ["", "<p>Tiny {0}</p>", "<p>Long enough to be what the page says, posted in June 2001, {0}</p>"]
+    rows = [(i, f"https://example.com/{i}", page.format(s, p.format(s))) for i, (s, p) in enumerate((s, p) for s in said for p in paragraphs)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{folder}/pages.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["enrich_pages"])
+def test_references_without_semicolon_are_those_of_the_sql(spark, tmp_path, name):
+    folder = cut_pages(spark, tmp_path)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{folder}/pages.parquet/*.parquet')")
+    other = con.sql(q.ORACLE_SQL[name])
+    want = sorted((tuple(map(plain, r)) for r in other.fetchall()), key=str)
+    got = sorted((tuple(map(plain, r)) for r in q.QUERIES[name](spark, folder).select(*other.columns).collect()), key=str)
+    assert len(got) == 15 and got == want
+
+
+def test_references_without_semicolon_are_read_in_live_pages(spark):
+    from crawlcat.sources import html
+
+    frame = spark.createDataFrame([(1, "https://example.com/a", "<title>AT&ampT &lt;&amp</title><p>R&D &copy")], "page_id int, url string, html string")
+    assert html.metadata(frame, q.POLICY).head()["page_title"] == "AT&T <&"
+    assert html.metadata(frame, q.POLICY, unclosed=False).head()["page_title"] == "AT&ampT <&amp"
+    assert [tuple(r) for r in html.parsed(frame, unclosed=False).select("title", "paragraphs").collect()] == [("AT&ampT <&amp", ["R&D &copy"])]
